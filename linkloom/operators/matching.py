@@ -30,7 +30,7 @@ def tfidf_cosine(pairs: DataFrame, records: DataFrame) -> DataFrame:
     """s1, cand, cosine of the names' TF-IDF vectors (idf = ln(1 + records / records with the token)); pairs that share no token have no row."""
     f = text.with_folded(records).select("entity_id", F.explode(text.significant_tokens(text.normalized_name(F.col("folded.name_plain")))).alias("token"))
     tf = f.groupBy("entity_id", "token").agg(F.count("*").alias("tf"))
-    idf = tf.groupBy("token").agg(F.count("*").alias("df")).join(records.agg(F.count("*").alias("n"))).select("token", F.log1p(F.col("n") / F.col("df")).alias("idf"))
+    idf = tf.groupBy("token").agg(F.count("*").alias("df")).select("token", F.log1p(records.agg(F.count("*")).scalar() / F.col("df")).alias("idf"))
     weights = tf.join(idf, "token").select("entity_id", "token", (F.col("tf") * F.col("idf")).alias("w"))
     norms = weights.groupBy("entity_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     a = weights.select(F.col("entity_id").alias("s1"), "token", F.col("w").alias("wa"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,22 +18,24 @@ def recall(truth: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def run_stats(reference: DataFrame, others: DataFrame, postings: DataFrame, stats: DataFrame, pairs: DataFrame) -> DataFrame:
     """One row: records and postings on either side, keys all, dropped and usable, pairs, pairs a record, records without any."""
-    one = lambda df, *aggs: df.agg(*aggs)
     per = reference.select(F.col("entity_id").alias("s1")).join(pairs.groupBy("s1").agg(F.count("*").alias("n")), "s1", "left")
-    rows = one(reference, F.count("*").alias("n_reference"))
-    for part in (
-        one(others, F.count("*").alias("n_others")),
-        one(postings, F.count("*").alias("n_postings")),
+    parts = [
+        reference.agg(F.count("*").alias("n_reference")),
+        others.agg(F.count("*").alias("n_others")),
+        postings.agg(F.count("*").alias("n_postings")),
         stats,
-        one(per, F.coalesce(F.sum("n"), F.lit(0)).alias("n_pairs"), F.count_if(F.col("n").isNull()).alias("n_empty")),
-    ):
-        rows = rows.join(part)  # each side is a single row
+        per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_pairs"), F.count_if(F.col("n").isNull()).alias("n_empty")),
+    ]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    rows = rows.agg(*[F.max(c).alias(c) for c in rows.columns])
     return rows.withColumn("pairs_per_record", F.when(F.col("n_reference") == 0, 0.0).otherwise(F.col("n_pairs") / F.col("n_reference")))
 
 
 def reduction_ratio(reference: DataFrame, others: DataFrame, pairs: DataFrame) -> DataFrame:
     """One row: the share of all possible pairs that blocking spares."""
-    rows = reference.agg(F.count("*").alias("n1")).join(others.agg(F.count("*").alias("n23"))).join(pairs.agg(F.count("*").alias("n_pairs")))
+    parts = [reference.agg(F.count("*").alias("n1")), others.agg(F.count("*").alias("n23")), pairs.agg(F.count("*").alias("n_pairs"))]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    rows = rows.agg(*[F.max(c).alias(c) for c in rows.columns])
     every = F.col("n1") * F.col("n23")
     return rows.withColumn("reduction_ratio", F.when(every == 0, 0.0).otherwise(1 - F.col("n_pairs") / every))
 

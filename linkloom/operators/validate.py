@@ -27,9 +27,10 @@ def good_rows(rows: DataFrame) -> DataFrame:
 def _report(bad: DataFrame, item: Column, rule: str, severity: str) -> DataFrame:
     """severity, rule, n, examples (the first five): no row if nothing is bad."""
     listed = bad.select(item.cast("string").alias("item"))
-    few = listed.orderBy("item").limit(EXAMPLES).agg(F.array_join(F.sort_array(F.collect_list("item")), ", ").alias("examples"))
-    counted = listed.agg(F.count("*").alias("n")).where("n > 0")
-    return counted.join(few).select(F.lit(severity).alias("severity"), F.lit(rule).alias("rule"), "n", "examples")
+    few = listed.orderBy("item").limit(EXAMPLES).select(F.lit(None).cast("long").alias("n"), "item")
+    rows = listed.agg(F.count("*").alias("n")).select("n", F.lit(None).cast("string").alias("item")).unionByName(few)
+    counted = rows.agg(F.max("n").alias("n"), F.array_join(F.sort_array(F.collect_list("item")), ", ").alias("examples"))
+    return counted.where("n > 0").select(F.lit(severity).alias("severity"), F.lit(rule).alias("rule"), "n", "examples")
 
 
 def malformed(rows: DataFrame) -> DataFrame:
