@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.functions import text
@@ -44,3 +48,39 @@ def matches(featured: DataFrame, threshold: float = 0.5) -> DataFrame:
     """s1, cand, confidence of the candidates whose mean name similarity reaches the threshold."""
     mean = (F.col("name_jaccard") + F.col("trigram_jaccard") + F.col("name_edit")) / 3
     return featured.select("s1", "cand", mean.alias("confidence")).where(F.col("confidence") >= threshold)
+
+
+_INPUTS = ["name_jaccard", "trigram_jaccard", "name_edit", "sound", "code"]
+
+
+def _numbers(featured: DataFrame) -> DataFrame:
+    return featured.withColumn("sound", F.col("same_sound").cast("double")).withColumn("code", F.col("same_postcode").cast("double"))
+
+
+def fit_classifier(featured: DataFrame, truth: DataFrame) -> PipelineModel:
+    """A logistic regression on the features; pairs of ``truth`` are the positives."""
+    known = truth.select("s1", "cand").distinct().withColumn("label", F.lit(1.0))
+    rows = _numbers(featured).join(known, ["s1", "cand"], "left").na.fill(0.0, ["label"])
+    return Pipeline(stages=[VectorAssembler(inputCols=_INPUTS, outputCol="features"), LogisticRegression(regParam=0.01)]).fit(rows)
+
+
+def classify(featured: DataFrame, model: PipelineModel) -> DataFrame:
+    """s1, cand, confidence: the model's probability of a match."""
+    return model.transform(_numbers(featured)).select("s1", "cand", vector_to_array("probability")[1].alias("confidence"))
+
+
+def threshold_sweep(scored: DataFrame, truth: DataFrame, steps: int = 20) -> DataFrame:
+    """threshold, n_said, n_hit, precision, recall and f05 over all pairs, for each of ``steps`` thresholds.
+
+    One pass: pairs are counted by the step that their confidence reaches, and summed upwards.
+    """
+    known = truth.select("s1", "cand").distinct().withColumn("hit", F.lit(1))
+    step = F.least(F.floor(F.col("confidence") * steps), F.lit(steps - 1))
+    counts = scored.join(known, ["s1", "cand"], "left").groupBy(step.alias("step")).agg(F.count("*").alias("n"), F.count("hit").alias("h"))
+    every = scored.sparkSession.range(steps).withColumnRenamed("id", "step")
+    upward = Window.orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, Window.currentRow)  # over ``steps`` rows
+    total = every.join(counts, "step", "left").na.fill(0).select("step", F.sum("n").over(upward).alias("n_said"), F.sum("h").over(upward).alias("n_hit"))
+    n_true = truth.select("s1", "cand").distinct().agg(F.count("*")).scalar()
+    precision, found = F.try_divide("n_hit", "n_said"), F.try_divide(F.col("n_hit"), n_true)
+    f05 = F.coalesce(F.try_divide(1.25 * F.col("n_hit"), F.col("n_said") + 0.25 * n_true), F.lit(0.0))
+    return total.select((F.col("step") / steps).alias("threshold"), "n_said", "n_hit", precision.alias("precision"), found.alias("recall"), f05.alias("f05"))

@@ -109,5 +109,10 @@ def list_report(rows: DataFrame, required: DataFrame, known: DataFrame | None =
     return reduce(DataFrame.unionByName, parts)
 
 
+def encoding_report(lines: DataFrame) -> DataFrame:
+    """Lines that aren't UTF-8."""
+    return _report(lines.where(~F.is_valid_utf8("value")), F.concat(F.lit("line "), F.lpad(F.col("line_no").cast("string"), 12, " ")), "not_utf8", ERROR)
+
+
 def subset_report(matches: DataFrame, candidates: DataFrame) -> DataFrame:
     return _report(not_candidates(matches, candidates), F.col("s1"), "match_not_candidate", WARNING)

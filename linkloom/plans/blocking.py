@@ -34,10 +34,19 @@ def generate_candidate_pairs(spark: SparkSession, paths: dict[int, str], out: st
 
 
 def validation_report(spark: SparkSession, matching: str, required: str, candidate: str | None = None, known: list[str] | None = None) -> DataFrame:
-    """severity, rule, n, examples for the result files: no row of severity E means they pass."""
+    """severity, rule, n, examples for the result files: no row of severity E means they pass.
+
+    A missing list of required records ends the check. Ids are held against the files of
+    ``known`` that exist.
+    """
+    if not _exists(spark, required):
+        return _note(spark, validate.ERROR, "required_file_missing")
     wanted, ids = tsv.read_ids(spark, required), None
     parts = []
     for path in known or []:
+        if not _exists(spark, path):
+            parts.append(_note(spark, validate.WARNING, "id_file_absent"))
+            continue
         part = tsv.read_ids(spark, path)
         ids = part if ids is None else ids.unionByName(part)
     tables = {}
@@ -45,7 +54,11 @@ def validation_report(spark: SparkSession, matching: str, required: str, candida
         if path is None:
             parts.append(_note(spark, validate.WARNING, f"{name}_file_absent"))
             continue
+        if not _exists(spark, path):
+            parts.append(_note(spark, validate.ERROR, f"{name}_file_missing"))
+            continue
         lines = tsv.read_lines(spark, path)
+        parts.append(validate.encoding_report(lines).withColumn("rule", F.concat(F.lit(f"{name}_"), "rule")))
         header = lines.where("line_no = 1").first()
         problem = validate.header_problem(header["value"] if header else None, ("source1_entity_id", column))
         if problem:
@@ -63,6 +76,11 @@ def validation_report(spark: SparkSession, matching: str, required: str, candida
     return report
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def _note(spark: SparkSession, severity: str, rule: str) -> DataFrame:
     return spark.range(1).select(F.lit(severity).alias("severity"), F.lit(rule).alias("rule"), F.col("id").alias("n"), F.lit("").alias("examples"))
 

@@ -206,3 +206,25 @@ def test_line_numbers(spark, tmp_path):
 def test_bad_prefix_rule(spark):
     rows = validate.split_rows(spark.createDataFrame([("S1-1\tX-1,S2-1", 2)], "value string, line_no long"))
     assert [r["cand"] for r in validate.bad_prefixes(rows).collect()] == ["X-1"]
+
+
+def test_missing_files_and_encoding(spark, tmp_path):
+    good = tmp_path / "good.tsv"
+    good.write_text("entity_id\tx\nS1-1\ta\n")
+    bad = tmp_path / "bad.tsv"
+    bad.write_bytes(HEAD.encode() + b"S1-1\tS2-\xff\n")
+    rules = lambda *a: {(r["severity"], r["rule"]) for r in blocking.validation_report(spark, *a).collect()}
+    assert rules(str(good), str(tmp_path / "none")) == {("E", "required_file_missing")}
+    assert rules(str(tmp_path / "none"), str(good), None, [str(tmp_path / "gone")]) == QUIET | {("E", "matching_file_missing"), ("W", "id_file_absent")}
+    assert rules(str(bad), str(good)) == QUIET | {("E", "matching_not_utf8")}
+
+
+def test_classifier(spark, random_records):
+    ids = [f"S1-{i}" for i in range(12)]
+    both = spark.createDataFrame([(a, b) for a in ids for b in ids], "s1 string, cand string")
+    truth = spark.createDataFrame([(a, a) for a in ids], "s1 string, cand string")
+    featured = matching.features(both, random_records).cache()
+    scored = matching.classify(featured, matching.fit_classifier(featured, truth)).cache()
+    sweep = matching.threshold_sweep(scored, truth).orderBy("threshold").collect()
+    assert len(sweep) == 20 and sweep[0]["n_said"] == 144 and sweep[0]["recall"] == 1.0
+    assert max(r["f05"] for r in sweep) > 0.9
