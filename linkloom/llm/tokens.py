@@ -21,7 +21,7 @@ _LONG = 64
 class WordEncoder:
     """``encode(text)``: the ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, cache_size: int = 600_000):
+    def __init__(self, path: str, cache_size: int = 900_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.cache: dict[str, bytes] = {"": b""}
         self.cores: dict[str, bytes] = {"": b""}
@@ -44,15 +44,17 @@ class WordEncoder:
             else:
                 self.cache[chunk] = self._ids(chunk).tobytes()
         words = list(dict.fromkeys(core for _, core, _ in split if core not in cores))
-        for tail in {tail for _, _, tail in split} - cores.keys():
-            cores[tail] = self._ids(tail).tobytes()
+        for tail in {tail for _, _, tail in split}:
+            if tail not in cores:
+                cores[tail] = self._ids(tail).tobytes()
         for low in range(0, len(words), 256):
             part = words[low : low + 256]
             ids = self._ids(" ".join(part))
-            cut = np.flatnonzero(self.ends[ids]) + 1
+            cut = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             if len(cut) == len(part):
-                for word, piece in zip(part, np.split(ids, cut[:-1]), strict=True):
-                    cores[word] = piece.tobytes()
+                raw = ids.tobytes()
+                for word, start, end in zip(part, [0, *cut], cut, strict=False):
+                    cores[word] = raw[start:end]
             else:
                 for word in part:
                     cores[word] = self._ids(word).tobytes()
