@@ -10,7 +10,6 @@ sequences than were released changes nothing and ends the exchange.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -182,6 +181,3 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, ke
     pieces = token_pieces(docs, tokenizer, capacity).withColumn("ids_crc32", F.crc32("ids"))
     return pack(pieces if keep_ids else pieces.drop("ids"), capacity)
 
-
-def checksum(ids: bytes) -> int:
-    return zlib.crc32(ids)

@@ -67,4 +67,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_projected_neighbours, op2_role_repair, op3_crf_personal_data, op4_best_fit_packing, op5_sentencepiece, op6_warc, op7_quality_rules, op8_substring_dedup, op9_token_counts, op10_simhash)}
-ORACLES: dict[str, str] = {}
+
+_BITS = " + ".join(f"{16 >> k} * cast(substr(bits, 5 * i + {k + 1}, 1) as int)" for k in range(5))
+
+#: The other operators hold a model, a tokenizer's ids, a hash or a search that SQL can't express; tests hold them against brute force.
+ORACLES: dict[str, str] = {
+    "op6_warc": f"""with p as (select page_id, coalesce(html, '') as html from pages),
+        d as (select *, max(page_id) over (partition by html) as top, cast(cast(unhex(sha1(html)) as bit) as varchar) as bits from p)
+        select page_id, strlen(html) as payload_bytes, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + {_BITS}, 1)), '') as payload_digest,
+        case when page_id = top then 'response' else 'revisit' end as record_type, case when page_id <> top then top end as refers_to from d""",
+}
