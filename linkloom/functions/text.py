@@ -5,27 +5,20 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linkloom import config
 
+_LATIN_MARKS = regex.compile(r"(?<=[A-Za-z])\p{Mn}+")
 FOLDED = T.StructType([*(T.StructField(c, T.StringType()) for c in ("name", "name_plain", "address")), T.StructField("address_parts", T.ArrayType(T.StringType()))])
 
 
 def strip_latin_accents(text: str) -> str:
     """``text`` without the non-spacing marks on a to z; marks of other scripts stay."""
-    if text.isascii():
-        return text
-    kept, on_latin = [], False
-    for c in unicodedata.normalize("NFD", text):
-        if unicodedata.category(c) != "Mn":
-            on_latin = "a" <= c.lower() <= "z"
-        elif on_latin:
-            continue
-        kept.append(c)
-    return unicodedata.normalize("NFC", "".join(kept))
+    return text if text.isascii() else unicodedata.normalize("NFC", _LATIN_MARKS.sub("", unicodedata.normalize("NFD", text)))
 
 
 def _fold(text: str) -> str:
