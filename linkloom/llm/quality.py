@@ -29,6 +29,8 @@ _LOWER = bytes(range(97, 123))
 _DIGITS = b"0123456789"
 _SYMBOLS = b"#*$%&|<>"
 _MARKS = b"!?"
+#: The bytes of a code point behind its first.
+_INNER = bytes(range(128, 192))
 #: Upper edges of the buckets of each line feature.
 _EDGES = [
     [1, 2, 4, 8, 16, 32, 64],  # words
@@ -108,9 +110,7 @@ def measure(texts: list[bytes]) -> tuple[dict[str, np.ndarray], np.ndarray, np.n
         known: dict[bytes, int] = {}
         ids.append(np.fromiter((known.setdefault(w, len(known)) for w in flat), np.int64, len(flat)))
         sizes.append(len(flat))
-        joined = b"".join(flat)
-        out["word_chars"][i] = len(joined) - len(joined.translate(None, bytes(range(128, 192))))
-        out["word_chars"][i] = len(joined) - out["word_chars"][i]
+        out["word_chars"][i] = len(b"".join(flat).translate(None, _INNER))
         out["n_symbols"][i] = len(text) - len(text.translate(None, _SYMBOLS))
         feats.append(measures)
         per_doc.append(len(words))
@@ -149,6 +149,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> LinearChain
     return model.fit(train) if {r[0] for r in rows} == {0, 1} else model
 
 
+def _verdicts(texts: list[bytes | None], model: LinearChainCRF) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """Base counts by name, base_failed, kept and content_share of each text."""
+    counts, feats, per_doc, per_line = measure([x or b"" for x in texts])
+    marked = model.viterbi(feats, per_doc)
+    content = np.bincount(np.repeat(np.arange(len(texts)), per_doc), per_line * (marked == CONTENT), len(texts))
+    share = content / np.maximum(1, counts["n_words"])
+    failed = (counts["n_words"] < 20) | (100 * counts["n_repeat_words"] > 30 * counts["n_words"])
+    return counts, failed, ~failed & (share >= CONTENT_SHARE), share
+
+
 def judge(docs: DataFrame, model: LinearChainCRF, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, content_share.
 
@@ -156,21 +166,30 @@ def judge(docs: DataFrame, model: LinearChainCRF, id_col: str = "doc_id", text_c
     not base_failed, and a share of at least ``CONTENT_SHARE``. A null text counts as empty:
     base_failed, not kept. Repeated rows give repeated rows; other columns are ignored.
     """
-    schema = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, content_share double"
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    schema = f"doc_id long, {', '.join(f'{n} long' for n in names)}, base_failed boolean, kept boolean, content_share double"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for low in range(0, whole.num_rows, 256):
                 batch = whole.slice(low, 256)
-                counts, feats, per_doc, per_line = measure([x or b"" for x in batch.column(1).to_pylist()])
-                marked = model.viterbi(feats, per_doc)
-                line_doc = np.repeat(np.arange(batch.num_rows), per_doc)
-                content = np.bincount(line_doc, per_line * (marked == CONTENT), batch.num_rows)
-                share = content / np.maximum(1, counts["n_words"])
-                failed = (counts["n_words"] < 20) | (100 * counts["n_repeat_words"] > 30 * counts["n_words"])
-                columns = [batch.column(0), *[pa.array(counts[k]) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]]
-                columns += [pa.array(failed), pa.array(~failed & (share >= CONTENT_SHARE)), pa.array(share)]
-                yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in schema.split(", ")])
+                counts, failed, kept, share = _verdicts(batch.column(1).to_pylist(), model)
+                columns = [batch.column(0), *[pa.array(counts[n]) for n in names], pa.array(failed), pa.array(kept), pa.array(share)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", *names, "base_failed", "kept", "content_share"])
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     return picked.mapInArrow(run, schema)
+
+
+def keep(docs: DataFrame, model: LinearChainCRF) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text is kept (see ``judge``): one pass, no shuffle."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            at = whole.schema.get_field_index("text")
+            for low in range(0, whole.num_rows, 256):
+                batch = whole.slice(low, 256)
+                texts = [x if x is None else x.encode() for x in batch.column(at).to_pylist()]
+                yield batch.filter(pa.array(_verdicts(texts, model)[2]))
+
+    return docs.mapInArrow(run, docs.schema)
