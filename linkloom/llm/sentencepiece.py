@@ -78,7 +78,7 @@ class Model:
         key = (left, right)
         found = self.pairs.get(key)
         if found is None:
-            if len(self.pairs) > 4 * self.cache_size:
+            if len(self.pairs) > self.cache_size:
                 self.pairs.clear()
             found = self.pairs[key] = self.merge(left + right) == [left, right] if left else self.merge(right) == [right]
         return found
