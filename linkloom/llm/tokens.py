@@ -1,4 +1,4 @@
-"""Exact token ids of the lower-casing word BPE, through a bounded cache of words.
+"""Exact token ids of the lower-casing word BPE, through a bounded cache of two generations of words.
 
 The tokenizer never looks across white space: its normalizer only maps white space to a
 space, and its pre-tokenizer drops it. So a text is cut at plain spaces, tabs and line feeds
@@ -21,10 +21,10 @@ _LONG = 64
 class WordEncoder:
     """``encode(text)``: the ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, cache_size: int = 900_000):
+    def __init__(self, path: str, cache_size: int = 300_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.cache: dict[str, bytes] = {"": b""}
-        self.cores: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
         self.cache_size = cache_size
         ends = [i for piece, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if piece.endswith("</w>")]
         self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
@@ -33,8 +33,16 @@ class WordEncoder:
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
+    def _known(self, chunk: str) -> bool:
+        """Whether the cache has a chunk; one of the generation before moves over."""
+        if chunk not in self.cache:
+            if chunk not in self.older:
+                return False
+            self.cache[chunk] = self.older[chunk]
+        return True
+
     def _learn(self, chunks: list[str]) -> None:
-        cores, split = self.cores, []
+        cache, split = self.cache, []
         for chunk in chunks:
             core = chunk.rstrip(_TAIL)
             tail = chunk[len(core) :]
@@ -42,11 +50,11 @@ class WordEncoder:
             if _LETTERS.fullmatch(core):
                 split.append((chunk, core, tail))
             else:
-                self.cache[chunk] = self._ids(chunk).tobytes()
-        words = list(dict.fromkeys(core for _, core, _ in split if core not in cores))
+                cache[chunk] = self._ids(chunk).tobytes()
         for tail in {tail for _, _, tail in split}:
-            if tail not in cores:
-                cores[tail] = self._ids(tail).tobytes()
+            if not self._known(tail):
+                cache[tail] = self._ids(tail).tobytes()
+        words = [core for core in dict.fromkeys(core for _, core, _ in split) if not self._known(core)]
         for low in range(0, len(words), 256):
             part = words[low : low + 256]
             ids = self._ids(" ".join(part))
@@ -54,30 +62,28 @@ class WordEncoder:
             if len(cut) == len(part):
                 raw = ids.tobytes()
                 for word, start, end in zip(part, [0, *cut], cut, strict=False):
-                    cores[word] = raw[start:end]
+                    cache[word] = raw[start:end]
             else:
                 for word in part:
-                    cores[word] = self._ids(word).tobytes()
+                    cache[word] = self._ids(word).tobytes()
         for chunk, core, tail in split:
-            self.cache[chunk] = cores[core] + cores[tail]
+            cache[chunk] = cache[core] + cache[tail]
 
     def encode(self, text: str) -> bytes:
         if len(self.cache) > self.cache_size:
-            self.cache = {"": b""}
-        if len(self.cores) > self.cache_size:
-            self.cores = {"": b""}
+            self.cache, self.older = {"": b""}, self.cache
         cache = self.cache
         chunks = text.replace("\n", " ").replace("\t", " ").split(" ")
         try:
             return b"".join([cache[x] for x in chunks])
         except KeyError:
-            missing = [x for x in dict.fromkeys(chunks) if x not in cache]
+            missing = [x for x in dict.fromkeys(chunks) if not self._known(x)]
         self._learn(missing)
         ids = b"".join([cache[x] for x in chunks])
         for x in missing:
             if len(x) > _LONG:
-                del cache[x]
-                self.cores.pop(x.rstrip(_TAIL).lower(), None)
+                cache.pop(x, None)
+                cache.pop(x.rstrip(_TAIL).lower(), None)
         return ids
 
 
