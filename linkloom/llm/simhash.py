@@ -119,7 +119,10 @@ def _bucket_links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def links(prints: DataFrame) -> DataFrame:
     """Rows (a, b) whose transitive closure is that of all links among the distinct values of ``fp``."""
-    keyed = prints.select("fp").where("fp is not null").distinct().select("fp", F.inline(_ball("fp")))
+    distinct = prints.select("fp").where("fp is not null").distinct()
+    # small rows that each give 196: spread them over as many tasks as there are, whatever their bytes
+    spread = distinct.repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    keyed = spread.select("fp", F.inline(_ball("fp")))
     keyed = keyed.select(F.col("fp").bitwiseAND(F.col("keep")).bitwiseXOR(F.col("flip")).alias("key"), "fp")
     met = keyed.repartition("key").sortWithinPartitions("key")
     return met.mapInArrow(_bucket_links, "a long, b long").distinct()
