@@ -206,7 +206,9 @@ def read(manifest: DataFrame, split: int = SPLIT, keep_payload: bool = True) ->
     starts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(split).cast("long")))
     ranges = manifest.where("bytes > 0").select("path", starts.alias("start"), "bytes").select("path", "start", F.least(F.col("start") + split, "bytes").alias("end"))
     ddl = "page_id long, target_uri string, record_type string, refers_to long, payload_digest string, payload_bytes long" + (", payload binary" if keep_payload else "")
-    return ranges.repartition("path", "start").mapInArrow(run, ddl)
+    # a range is a few bytes here and up to ``split`` in its file: a task for each, not for each 64 MB of rows
+    tasks = manifest.agg(F.sum(F.ceil(F.col("bytes") / split))).first()[0] or 1
+    return ranges.repartition(int(tasks), "path", "start").mapInArrow(run, ddl)
 
 
 def round_trip(spark: SparkSession, pages: DataFrame, min_bytes: int = 0, keep_payload: bool = False) -> DataFrame:
