@@ -52,10 +52,18 @@ class Model:
         self.bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(spec.pieces) if p.type == _BYTE}
         self.byte_of = {i: b for b, i in self.bytes.items()}
         self.max_piece = max(map(len, self.ids), default=1)
+        # the lengths of pieces by their last two characters, longest first
+        ends: dict[str, set[int]] = {}
+        for p in self.ids:
+            if len(p) > 1:
+                ends.setdefault(p[-2:], set()).add(len(p))
+        self.lengths = {k: sorted(v, reverse=True) for k, v in ends.items()}
         self.unknown_score = min(self.scores.values(), default=0.0) - 10.0
         # no piece runs over these borders, so texts are cut there and parts looked up
         inner = any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.ids) or any("\n" in p for p in self.ids)
         self.cut = None if inner else re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
+        # nor over two characters that stand side by side in none
+        self.inside = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.cache: dict[str, bytes] = {}
         self.cache_size = cache_size
@@ -89,7 +97,8 @@ class Model:
         done, size = 0, self.max_piece
         for i in range(1, len(text) + 1):
             best = None
-            for j in range(max(done, i - size), i):
+            for n in (*self.lengths.get(text[i - 2 : i], ()), 1):
+                j = i - n
                 if j not in last:
                     continue
                 piece = text[j:i]
@@ -128,6 +137,14 @@ class Model:
         raw = piece.encode()
         return [self.bytes[b] for b in raw] if all(b in self.bytes for b in raw) else [self.unknown]
 
+    def _ids(self, part: str) -> bytes:
+        found = self.cache.get(part)
+        if found is None:
+            found = np.array([i for p in self.segment(part) for i in self._piece_ids(p)], dtype="<u4").tobytes()
+            if len(part) <= 64:
+                self.cache[part] = found
+        return found
+
     def encode(self, text: str) -> bytes:
         """The ids of a text, as little-endian unsigned 32-bit numbers."""
         if not text:
@@ -140,7 +157,8 @@ class Model:
         for part in parts:
             found = cache.get(part)
             if found is None:
-                found = np.array([i for p in self.segment(part) for i in self._piece_ids(p)], dtype="<u4").tobytes()
+                edges = [0, *[i for i in range(1, len(part)) if part[i - 1 : i + 1] not in self.inside], len(part)]
+                found = b"".join([self._ids(part[s:e]) for s, e in zip(edges, edges[1:], strict=False)])
                 if len(part) <= 64:
                     cache[part] = found
             out.append(found)
