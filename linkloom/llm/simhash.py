@@ -54,7 +54,7 @@ def fingerprint(text: bytes | None) -> int:
 def _fingerprints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         prints = np.fromiter((fingerprint(x) for x in batch.column(1).to_pylist()), np.uint64, batch.num_rows)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64)), *batch.columns[2:]], ["doc_id", "fp", *batch.schema.names[2:]])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -143,3 +143,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
     classes = named.join(lowest, "root").select("fp", "component_id")
     return table.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each group of near duplicates: that with the smallest doc_id, nulls last.
+
+    Rows are chosen by row, not by id: a group whose rows have no id keeps one, and different
+    texts that share an id stay if their groups differ. Among rows of one id, that with the
+    least hash of all columns is taken; of equal rows one.
+    """
+    row = F.xxhash64(*docs.columns)
+    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), row.alias("row"))
+    table = materialize(picked.mapInArrow(_fingerprints, "doc_id long, fp long, row long"), "fingerprints")
+    least = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
+    classes = table.groupBy("fp").agg(F.min(least).alias("least"))
+    roots = connected(links(table), "a", "b")
+    named = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("least", F.coalesce("root", "fp").alias("root"))
+    kept = named.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.doc_id").alias("_id"), F.col("least.row").alias("_kept"))
+    own = docs.withColumn("_row", row)
+    same = (own["_row"] == kept["_kept"]) & own["doc_id"].cast("long").eqNullSafe(kept["_id"])
+    return own.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_row"]).select(*docs.columns)
