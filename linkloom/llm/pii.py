@@ -1,7 +1,7 @@
 """Personal data: fixed patterns, and a CRF over word shapes that finds what they miss.
 
-The CRF labels the words of a line (runs of other than white space; a line of over ``UNIT``
-words is read in units of ``UNIT``). A line without a digit, ``@``, ``+`` or the letters "dot"
+The CRF labels the words of a line (runs of other than white space), however long, as one
+chain. A line without a digit, ``@``, ``+`` or the letters "dot"
 holds nothing to label. The model is trained from ``training_table()``, a small table of
 labelled lines made by rule; what it marks must also be plausible for its kind.
 """
@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from linkloom.llm.crf import LinearChainCRF
 
 KINDS = ("email", "ip", "card", "phone")
-UNIT = 256
+BLOCK = 1 << 17
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
@@ -173,11 +173,9 @@ class ShapeTagger:
                 start = text.rfind("\n", 0, hint) + 1
                 done = text.find("\n", hint)
                 done = len(text) if done < 0 else done
-                words = list(_WORD.finditer(text, start, done))
-                units += [(i, words[low : low + UNIT]) for low in range(0, len(words), UNIT)]
+                units.append((i, list(_WORD.finditer(text, start, done))))
         out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-        for low in range(0, len(units), 512):
-            part = units[low : low + 512]
+        for part in _parts(units):
             feats, sizes = self._feats([[m[0] for m in words] for _, words in part])
             labels = self.crf.viterbi(feats, sizes)
             at = 0
@@ -186,7 +184,20 @@ class ShapeTagger:
                 at += n
                 if own.any():
                     out[i] += [x for x in _decode(words, own.tolist()) if plausible(texts[i][x[0] : x[1]], x[2])]
-        return out
+        return [sorted(found) for found in out]
+
+
+def _parts(units: list[tuple[int, list[re.Match]]]) -> Iterator[list[tuple[int, list[re.Match]]]]:
+    """Lines of like length together, at most 512 and, but for a single line, ``BLOCK`` words."""
+    part, held = [], 0
+    for unit in sorted(units, key=lambda unit: len(unit[1])):
+        if part and (len(part) == 512 or held + len(unit[1]) > BLOCK):
+            yield part
+            part, held = [], 0
+        part.append(unit)
+        held += len(unit[1])
+    if part:
+        yield part
 
 
 def _hints(text: str) -> Iterator[int]:

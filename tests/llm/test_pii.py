@@ -93,3 +93,13 @@ def test_masking(spark):
 
 def test_empty(spark):
     assert pii.detect(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_spans_dont_depend_on_their_place_in_a_line():
+    for span in ("(416) 555-0192", "ann at mail dot com"):
+        line = f"call {span} today"
+        found = [(line[s:e], k) for s, e, k in pii.find([line])[0][1]]
+        assert len(found) == 1
+        for n in (*range(248, 262), 509, 510, 511, 512, 1021):
+            text = "the " * n + line + " the" * 300
+            assert [(text[s:e], k) for s, e, k in pii.find([text])[0][1]] == found, n
