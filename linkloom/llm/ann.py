@@ -102,7 +102,7 @@ def search_shard(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, qu
             wait_i, wait_d = wait_i[~now], wait_d[~now]
             exact = np.sqrt(((vectors[take] - q) ** 2).sum(axis=1))
             best_d, best_i = np.concatenate((best_d, exact)), np.concatenate((best_i, ids[take]))
-            if len(best_d) > k:
+            if len(best_d) >= k:
                 keep = np.lexsort((best_i, best_d))[:k]
                 best_d, best_i = best_d[keep], best_i[keep]
             if len(best_d) == k and frontier > limit * best_d[-1] ** 2 and frontier > 0:

@@ -56,6 +56,20 @@ def test_fewer_candidates_than_asked(spark):
     assert ann.search(data.limit(0), data.limit(0)).collect() == []
 
 
+def test_the_kth_distance_stops_the_search(monkeypatch):
+    """A copy of the query is no bound while k - 1 rows are near by projection only, wherever it stands among them."""
+    monkeypatch.setattr(ann, "directions", lambda size: np.eye(size, ann.DIMS))
+    q = np.zeros((1, ann.DIMS + 1))
+    for seed in range(40):
+        rng = np.random.default_rng(seed)
+        near = np.hstack([rng.normal(size=(600, ann.DIMS)), np.zeros((600, 1))])
+        near[:, :-1] += 4
+        decoys = np.hstack([rng.normal(size=(4, ann.DIMS)) * 0.01, np.full((4, 1), 100.0)])
+        rows = rng.permutation(np.vstack([near, decoys, q]))
+        _, _, found = ann.search_shard(np.arange(len(rows)), rows, np.array([-1]), q, 5)
+        assert max(found) < 20, seed
+
+
 def test_chi_square():
     assert ann.chi2_cdf(ann.chi2_inverse(0.95)) == pytest.approx(0.95)
     draws = (np.random.default_rng(0).normal(size=(200_000, ann.DIMS)) ** 2).sum(1)
