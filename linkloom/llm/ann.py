@@ -126,14 +126,16 @@ def search(data: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_
     query's id. score is the Euclidean distance in double precision; ties go to the smaller
     id. Rows without an id and vectors that are null, zero or hold null or non-finite
     components take no part, on either side; vectors of other lengths than the query's aren't
-    candidates. Repeated rows are candidates each. Other columns are ignored.
+    candidates. Repeated rows are candidates each; as queries they count once. An id queried
+    with several vectors gets the k nearest rows over all of them, a row once for each vector
+    it is near to. Other columns are ignored.
     """
 
     def clean(df: DataFrame) -> DataFrame:
         picked = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vec"))
         return picked.where(F.col("id").isNotNull() & F.coalesce(_valid("vec"), F.lit(False))).withColumn("dim", F.size("vec"))
 
-    data, queries = clean(data), clean(queries)
+    data, queries = clean(data), clean(queries).dropDuplicates(["id", "vec"])
     shards, blocks = (max(1, -(-df.count() // size)) for df, size in ((data, SHARD), (queries, BLOCK)))
     left = data.withColumn("shard", F.pmod(F.xxhash64("id", "vec"), F.lit(shards)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     right = queries.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))

@@ -50,6 +50,12 @@ def test_ties_copies_and_bad_vectors(spark):
     assert got == [(0, 1, 1, 0.0), (0, 2, 2, 0.0), (0, 3, 3, 0.0), (5, 1, 0, 0.0), (5, 2, 1, 0.0), (5, 3, 2, 0.0)]
 
 
+def test_repeated_query_rows(spark):
+    rows = [(i, [1.0 + i, 2.0]) for i in range(1, 9)]
+    data = frame(spark, [(0, [1.0, 2.0])] * 5 + rows)
+    assert [(r["rank"], r["vec_id"]) for r in sorted(ann.search(data, data.where("vec_id = 0"), k=6).collect())] == [(n, n) for n in range(1, 7)]
+
+
 def test_fewer_candidates_than_asked(spark):
     data = frame(spark, [(0, [1.0, 0.0]), (1, [0.0, 1.0])])
     assert [(r["query_id"], r["vec_id"]) for r in ann.search(data, data.where("vec_id = 0")).collect()] == [(0, 1)]
