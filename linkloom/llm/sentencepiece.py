@@ -24,16 +24,19 @@ from sentencepiece import sentencepiece_model_pb2 as proto
 SPACE = "▁"
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
 _UNIGRAM, _BPE = 1, 2
+#: More than there are pieces and Unicode characters.
+_MAX_CODES = 1 << 24
+_NEVER = float("-inf")
 
 
 class Model:
     """The pieces of a model file, and ``encode`` and ``decode`` with them.
 
-    Models whose normalizer maps characters or drops white space are refused: their texts
-    can't be read back.
+    Models whose normalizer maps characters or drops white space are refused, since their texts
+    can't be read back, and so are those with user-defined or unused pieces.
     """
 
-    def __init__(self, path: str, cache_size: int = 400_000):
+    def __init__(self, path: str, cache_size: int = 200_000):
         spec = proto.ModelProto()
         with open(path, "rb") as f:
             spec.ParseFromString(f.read())
@@ -43,141 +46,252 @@ class Model:
         self.bpe = spec.trainer_spec.model_type == _BPE
         if not self.bpe and spec.trainer_spec.model_type != _UNIGRAM:
             raise ValueError("only unigram and BPE models have pieces to choose from")
+        if any(p.type in (_USER, _UNUSED) for p in spec.pieces):
+            raise ValueError("user-defined and unused pieces follow other rules")
         self.prefix = norm.add_dummy_prefix
         self.pieces = [p.piece for p in spec.pieces]
         self.types = [p.type for p in spec.pieces]
-        self.ids = {p.piece: i for i, p in enumerate(spec.pieces) if p.type in (_NORMAL, _USER)}
-        self.scores = {p.piece: p.score for p in spec.pieces if p.type in (_NORMAL, _USER)}
+        self.ids = {p.piece: i for i, p in enumerate(spec.pieces) if p.type == _NORMAL}
+        self.scores = {p.piece: p.score for p in spec.pieces if p.type == _NORMAL}
         self.unknown = self.types.index(_UNKNOWN) if _UNKNOWN in self.types else 0
         self.bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(spec.pieces) if p.type == _BYTE}
         self.byte_of = {i: b for b, i in self.bytes.items()}
         self.max_piece = max(map(len, self.ids), default=1)
-        # the lengths of pieces by their last two characters, longest first
-        ends: dict[str, set[int]] = {}
-        for p in self.ids:
-            if len(p) > 1:
-                ends.setdefault(p[-2:], set()).add(len(p))
-        self.lengths = {k: sorted(v, reverse=True) for k, v in ends.items()}
         self.unknown_score = min(self.scores.values(), default=0.0) - 10.0
         # no piece runs over these borders, so texts are cut there and parts looked up
         inner = any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.ids) or any("\n" in p for p in self.ids)
         self.cut = None if inner else re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
-        # nor over two characters that stand side by side in none
-        self.inside = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        # codes: ids, and behind them a number for each character met that is no piece
+        self.texts = list(self.pieces)
+        self.codes = dict(self.ids)
+        self.raw = [i.to_bytes(4, "little") for i in range(len(self.pieces))]
+        ends: dict[str, set[int]] = {}
+        for p in self.ids:
+            for n in (2, 3):
+                if len(p) >= n:
+                    ends.setdefault(p[-n:], set()).add(len(p))
+        self._ends = ends
+        self.lengths: dict[str, tuple[int, ...]] = {}
+        self.edges: dict[int, tuple[list, list] | None] = {}
+        self.pairs: dict[int, bool] = {}
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.cache_size = cache_size
+        plain = [b"" if t == _CONTROL else " ⁇ ".encode() if t == _UNKNOWN else p.replace(SPACE, " ").encode() for p, t in zip(self.pieces, self.types, strict=True)]
+        self.plain = [bytes([self.byte_of[i]]) if i in self.byte_of else p for i, p in enumerate(plain)]
+
+    def _code(self, char: str) -> int:
+        """The code of a character that may be no piece."""
+        code = self.codes.get(char)
+        if code is None:
+            code = self.codes[char] = len(self.texts)
+            raw = char.encode()
+            self.texts.append(char)
+            self.raw.append(b"".join(self.raw[self.bytes[b]] for b in raw) if all(b in self.bytes for b in raw) else self.raw[self.unknown])
+        return code
+
+    def _lengths(self, tail: str) -> tuple[int, ...]:
+        """The lengths over 1 of pieces that end in these up to three characters, longest first."""
+        if len(self.lengths) > 200_000:
+            self.lengths.clear()
+        long = self._ends.get(tail, ()) if len(tail) == 3 else ()
+        found = self.lengths[tail] = (*sorted((n for n in long if n > 2), reverse=True), *([2] if tail[-2:] in self.ids and len(tail) > 1 else []))
+        return found
 
     def merge(self, text: str) -> list[str]:
         """What byte-pair merging makes of a short text: the best-scored neighbours first, the left ones among equals."""
-        own = list(text)
+        return self._merges(text)[-1][1]
+
+    def _merges(self, text: str) -> list[tuple[float, list[str]]]:
+        """The states of merging, each with the score of the merge that follows it."""
+        own, out = list(text), []
         while True:
-            best, at = None, -1
+            best, at = _NEVER, -1
             for i in range(len(own) - 1):
                 score = self.scores.get(own[i] + own[i + 1])
-                if score is not None and (best is None or score > best):
+                if score is not None and score > best:
                     best, at = score, i
-            if best is None:
-                return own
+            out.append((best, list(own)))
+            if at < 0:
+                return out
             own[at : at + 2] = [own[at] + own[at + 1]]
 
-    def stays(self, left: str, right: str) -> bool:
-        """Whether merging leaves this pair of pieces as it is."""
-        key = (left, right)
-        found = self.pairs.get(key)
-        if found is None:
-            if len(self.pairs) > self.cache_size:
-                self.pairs.clear()
-            found = self.pairs[key] = self.merge(left + right) == [left, right] if left else self.merge(right) == [right]
+    def _edges(self, code: int) -> tuple[list, list] | None:
+        """While a piece comes to be: (score of the next merge, first part), and the same with the last part; None if merging never makes it."""
+        states = self._merges(self.texts[code])
+        whole = len(states[-1][1]) == 1
+        self.edges[code] = found = ([(s, own[0]) for s, own in states], [(s, own[-1]) for s, own in states]) if whole else None
         return found
 
-    def segment(self, text: str) -> Iterator[str]:
-        """The pieces of the best path, committed as soon as no later character can change them."""
-        last: dict[int, tuple[float, int, str]] = {0: (0.0, 0, "")}  # border: score, border before, piece
-        done, size = 0, self.max_piece
-        for i in range(1, len(text) + 1):
+    def stays(self, left: int, right: int) -> bool:
+        """Whether merging leaves this pair of pieces (codes; -1: no left one) as it is.
+
+        Merges inside either piece run as they would alone until one across the border is due:
+        its score beats that of the left piece's next merge and isn't below the right one's.
+        """
+        edges = self.edges
+        if len(self.pairs) > 2 * self.cache_size:
+            self.pairs.clear()
+        after = edges[right] if right in edges else self._edges(right)
+        before = ([], [(_NEVER, "")]) if left < 0 else edges[left] if left in edges else self._edges(left)
+        good = before is not None and after is not None
+        if good and left >= 0:
+            lefts, rights, scores = before[1], after[0], self.scores
+            i = j = 0
+            while True:
+                x, last = lefts[i]
+                y, first = rights[j]
+                across = scores.get(last + first)
+                if across is not None and across > x and across >= y:
+                    good = False
+                    break
+                if x >= y:
+                    if x == _NEVER:
+                        break
+                    i += 1
+                else:
+                    j += 1
+        self.pairs[left * _MAX_CODES + right] = good
+        return good
+
+    def _grow(self, text: str, low: int, high: int, base: int, code: list[int], back: list[int]) -> None:
+        """Add the nodes of the borders behind ``low`` up to ``high``: the last piece of the path to each, and the border before it.
+
+        ``code`` and ``back`` hold those of the borders from ``base`` on.
+        """
+        codes, lengths, pairs = self.codes, self.lengths, self.pairs
+        for i in range(low + 1, high + 1):
+            tail = text[i - 3 if i > 3 else 0 : i]
+            for n in lengths[tail] if tail in lengths else self._lengths(tail):
+                j = i - n
+                if j >= 0:
+                    own = codes.get(text[j:i])
+                    if own is not None:
+                        left = code[j - base]
+                        good = pairs.get(left * _MAX_CODES + own)
+                        if good or good is None and self.stays(left, own):
+                            code.append(own)
+                            back.append(j)
+                            break
+            else:
+                # every border has one path; if no longer piece ends it, this one does
+                own = codes.get(text[i - 1])
+                code.append(self._code(text[i - 1]) if own is None else own)
+                back.append(i - 1)
+
+    def _grow_by_score(self, text: str, low: int, high: int, base: int, code: list[int], back: list[int], score: list[float]) -> None:
+        """The same where the path with the greatest sum of scores survives; the longer last piece among equals."""
+        for i in range(low + 1, high + 1):
+            tail = text[i - 3 if i > 3 else 0 : i]
             best = None
-            for n in (*self.lengths.get(text[i - 2 : i], ()), 1):
+            for n in (*(self.lengths[tail] if tail in self.lengths else self._lengths(tail)), 1):
                 j = i - n
-                if j not in last:
+                if j < 0 or n > 1 and text[j:i] not in self.ids:
                     continue
-                piece = text[j:i]
-                score = self.scores.get(piece)
-                if score is None:
-                    if i - j > 1:
-                        continue
-                    score = self.unknown_score
-                if self.bpe:
-                    if self.stays(last[j][2], piece):
-                        best = (0.0, j, piece)
-                        break
-                elif best is None or last[j][0] + score > best[0]:
-                    best = (last[j][0] + score, j, piece)
-            if best is not None:
-                last[i] = best
-            if i % size == 0 or i == len(text):
-                live = {p for p in range(max(done, i - size + 1), i + 1) if p in last} if i < len(text) else {i}
-                while len(live) > 1:
-                    top = max(live)
-                    live.remove(top)
-                    live.add(last[top][1] if top > done else done)
-                border = live.pop()
-                path, at = [], border
-                while at > done:
-                    path.append(last[at][2])
-                    at = last[at][1]
-                yield from reversed(path)
-                done = border
-                for p in [p for p in last if p < done]:
-                    del last[p]
-
-    def _piece_ids(self, piece: str) -> list[int]:
-        if piece in self.ids:
-            return [self.ids[piece]]
-        raw = piece.encode()
-        return [self.bytes[b] for b in raw] if all(b in self.bytes for b in raw) else [self.unknown]
-
-    def _ids(self, part: str) -> bytes:
-        found = self.cache.get(part)
-        if found is None:
-            found = np.array([i for p in self.segment(part) for i in self._piece_ids(p)], dtype="<u4").tobytes()
-            if len(part) <= 64:
-                self.cache[part] = found
-        return found
+                total = score[j - base] + self.scores.get(text[j:i], self.unknown_score)
+                if best is None or total > best[0]:
+                    best = (total, j)
+            score.append(best[0])
+            code.append(self._code(text[best[1] : i]))
+            back.append(best[1])
 
-    def encode(self, text: str) -> bytes:
-        """The ids of a text, as little-endian unsigned 32-bit numbers."""
-        if not text:
-            return b""
-        text = (SPACE if self.prefix else "") + text.replace(" ", SPACE)
-        if len(self.cache) > self.cache_size:
-            self.cache.clear()
-        parts = self.cut.findall(text) if self.cut else [text]
-        cache, out = self.cache, []
+    def segment(self, text: str) -> Iterator[int]:
+        """The codes of the best path, committed as soon as no later character can change them."""
+        size, base, done = self.max_piece, 0, 0
+        code, back, score = [-1], [-1], [0.0]
+        for low in range(0, len(text), size):
+            high = min(low + size, len(text))
+            if self.bpe:
+                self._grow(text, low, high, base, code, back)
+            else:
+                self._grow_by_score(text, low, high, base, code, back, score)
+            live = set(range(max(done, high - size + 1), high + 1)) if high < len(text) else {high}
+            while len(live) > 1:
+                top = max(live)
+                live.remove(top)
+                live.add(max(done, back[top - base]))
+            border = live.pop()
+            path, at = [], border
+            while at > done:
+                path.append(code[at - base])
+                at = back[at - base]
+            yield from reversed(path)
+            done = border
+            del code[: done - base], back[: done - base], score[: done - base]
+            base = done
+
+    def _short(self, parts: list[str]) -> None:
+        """Encode parts of at most ``max_piece`` characters: the window holds each as a whole.
+
+        They come sorted, and the nodes of the characters that a part shares with the one
+        before are kept.
+        """
+        code, back, score, before, raw = [-1], [-1], [0.0], "", self.raw
         for part in parts:
-            found = cache.get(part)
-            if found is None:
-                edges = [0, *[i for i in range(1, len(part)) if part[i - 1 : i + 1] not in self.inside], len(part)]
-                found = b"".join([self._ids(part[s:e]) for s, e in zip(edges, edges[1:], strict=False)])
-                if len(part) <= 64:
-                    cache[part] = found
-            out.append(found)
-        return b"".join(out)
+            n = 0
+            for x, y in zip(part, before, strict=False):
+                if x != y:
+                    break
+                n += 1
+            before = part
+            del code[n + 1 :], back[n + 1 :], score[n + 1 :]
+            if self.bpe:
+                self._grow(part, n, len(part), 0, code, back)
+            else:
+                self._grow_by_score(part, n, len(part), 0, code, back, score)
+            at, path = len(part), []
+            while at > 0:
+                path.append(raw[code[at]])
+                at = back[at]
+            path.reverse()
+            self.cache[part] = b"".join(path)
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as little-endian unsigned 32-bit numbers."""
+        if len(self.cache) > self.cache_size:
+            self.cache, self.older = {}, self.cache
+        cache, older, split = self.cache, self.older, []
+        for text in texts:
+            text = (SPACE if self.prefix else "") + text.replace(" ", SPACE) if text else ""
+            split.append(self.cut.findall(text) if self.cut else [text] if text else [])
+        missing = set().union(*split).difference(cache)
+        for part in [p for p in missing if p in older]:
+            cache[part] = older[part]
+            missing.remove(part)
+        self._short(sorted(p for p in missing if len(p) <= self.max_piece))
+        long = [p for p in missing if len(p) > self.max_piece]
+        for part in long:
+            cache[part] = b"".join([self.raw[c] for c in self.segment(part)])
+        out = [b"".join([cache[p] for p in parts]) for parts in split]
+        for part in long:
+            if len(part) > 64:
+                del cache[part]
+        return out
+
+    def encode(self, text: str) -> bytes:
+        return self.encode_all([text])[0]
 
     def decode(self, ids: bytes) -> str:
         """The text of ids; control pieces vanish, broken byte runs become U+FFFD."""
-        out = bytearray()
-        for i in np.frombuffer(ids, "<u4").tolist():
-            if i in self.byte_of:
-                out.append(self.byte_of[i])
-            elif self.types[i] == _UNKNOWN:
-                out += " ⁇ ".encode()
-            elif self.types[i] != _CONTROL:
-                out += self.pieces[i].replace(SPACE, " ").encode()
-        text = out.decode(errors="replace")
+        plain = self.plain
+        text = b"".join([plain[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode(errors="replace")
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
+def _batches(column: pa.Array, size: int = 1 << 20) -> Iterator[list[str | None]]:
+    """The values of a column in lists of about ``size`` characters, or one text."""
+    held, n = [], 0
+    for low in range(0, len(column), 256):
+        for text in column.slice(low, 256).to_pylist():
+            if held and n + len(text or "") > size:
+                yield held
+                held, n = [], 0
+            held.append(text)
+            n += len(text or "")
+    if held:
+        yield held
+
+
 _MODELS: dict[str, Model] = {}
 
 
@@ -194,10 +308,12 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model(path)
         for batch in batches:
-            for low in range(0, batch.num_rows, 1000):
-                part = batch.slice(low, 1000)
-                ids = [None if x is None else own.encode(x) for x in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            at = 0
+            for texts in _batches(batch.column(1)):
+                found = own.encode_all([x or "" for x in texts])
+                ids = pa.array([None if x is None else y for x, y in zip(texts, found, strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), ids], ["doc_id", "ids"])
+                at += len(texts)
 
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return picked.mapInArrow(run, "doc_id long, ids binary")
