@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from linkloom import config
 from linkloom.config import BlockingConfig
 from linkloom.functions.keys import record_keys
 from linkloom.operators import index
+from linkloom.sources.storage import materialize
 
 
 def hits(query_postings: DataFrame, stats: DataFrame) -> DataFrame:
@@ -32,7 +35,10 @@ def within_budget(found: DataFrame, budget: int | None) -> DataFrame:
 
 
 def expand(found: DataFrame, postings: DataFrame) -> DataFrame:
-    """s1, cand, cand_src, weight: a row per hit and record of its key; at most the cap for each hit."""
+    """s1, cand, cand_src, weight: a row per hit and record of its key; at most the cap for each hit.
+
+    Give it the postings of usable keys only (see ``index.without_hot``).
+    """
     return found.select("s1", "key", "weight").join(postings.select("key", "cand", "cand_src"), "key").select("s1", "cand", "cand_src", "weight")
 
 
@@ -57,11 +63,61 @@ def index_postings(records: DataFrame, settings: BlockingConfig = config.DEFAULT
     return keyed.withColumnsRenamed({"entity_id": "cand", "src": "cand_src"})
 
 
+class Blocking:
+    """The tables of one run, each computed once.
+
+    Keys are extracted once for either side and written to the shared folder, counts and the
+    ranked pairs as well; what follows reads those.
+    """
+
+    def __init__(self, reference: DataFrame, others: DataFrame, settings: BlockingConfig = config.DEFAULT):
+        self.reference, self.others, self.settings = reference, others, settings
+
+    @cached_property
+    def asked(self) -> DataFrame:
+        return materialize(query_postings(self.reference, self.settings), "asked")
+
+    @cached_property
+    def postings(self) -> DataFrame:
+        return materialize(index_postings(self.others, self.settings), "postings")
+
+    @cached_property
+    def counts(self) -> DataFrame:
+        return materialize(index.bucket_counts(self.postings), "counts")
+
+    @property
+    def stats(self) -> DataFrame:
+        return index.usable(self.counts, self.settings)
+
+    @cached_property
+    def usable_postings(self) -> DataFrame:
+        return index.without_hot(self.postings, self.counts, self.settings)
+
+    @cached_property
+    def hits(self) -> DataFrame:
+        return hits(index.without_hot(self.asked, self.counts, self.settings), self.stats)
+
+    @property
+    def kept(self) -> DataFrame:
+        return within_budget(self.hits, self.settings.fanout_budget)
+
+    @property
+    def scored(self) -> DataFrame:
+        return scored(expand(self.kept, self.usable_postings))
+
+    @property
+    def ranked(self) -> DataFrame:
+        return ranked(self.scored, self.settings.top_n)
+
+    @cached_property
+    def pairs(self) -> DataFrame:
+        """s1, cand, cand_src, score, n_keys, rank, written once."""
+        return materialize(self.ranked, "pairs")
+
+
 def candidates(reference: DataFrame, others: DataFrame, settings: BlockingConfig = config.DEFAULT) -> DataFrame:
     """s1, cand, cand_src, score, n_keys, rank of the records of ``others`` for those of ``reference``."""
-    asked, postings = query_postings(reference, settings), index_postings(others, settings)
-    found = within_budget(hits(asked, index.key_stats(postings, settings)), settings.fanout_budget)
-    return ranked(scored(expand(found, postings)), settings.top_n)
+    return Blocking(reference, others, settings).ranked
 
 
 def listed(reference: DataFrame, pairs: DataFrame) -> DataFrame:

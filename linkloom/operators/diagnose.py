@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from linkloom import config
 from linkloom.functions import text
+from linkloom.sources.storage import materialize
 
+FIELDS = ("names", "addresses")
 SAMPLE, EXAMPLES, TOP_COUNTRIES, TOP_SIZES = 20_000, 12, 25, 8
 
 
@@ -18,8 +20,23 @@ def described(records: DataFrame) -> DataFrame:
     return f.select("entity_id", "src", F.coalesce("country", F.lit("")).alias("country"), "business_name", names.alias("names"), addresses.alias("addresses"), text.trigrams(F.col("name")).alias("grams"))
 
 
+def _tagged() -> Column:
+    """The tokens of both fields as an array of field and token."""
+
+    def one(field: str) -> Column:
+        return F.transform(field, lambda t: F.struct(F.lit(field).alias("field"), t.alias("token")))
+
+    return F.concat(*map(one, FIELDS))
+
+
+def all_frequencies(info: DataFrame) -> DataFrame:
+    """country, field (names or addresses), token, df: how many described records of the other sources hold a token."""
+    listed = info.where("src > 1").select("country", F.inline(_tagged()))
+    return listed.groupBy("country", "field", "token").agg(F.count("*").alias("df"))
+
+
 def token_frequencies(info: DataFrame, column: str) -> DataFrame:
-    """country, token, df: how many described records of the other sources hold a token."""
+    """country, token, df of one field."""
     return info.where("src > 1").select("country", F.explode(column).alias("token")).groupBy("country", "token").agg(F.count("*").alias("df"))
 
 
@@ -29,28 +46,32 @@ def truth_sample(truth: DataFrame, n: int = SAMPLE, seed: int = 42) -> DataFrame
     return ids.orderBy(F.xxhash64("s1", F.lit(seed)), "s1").limit(n)
 
 
-def _frequent(pairs: DataFrame, shared: str, frequencies: DataFrame, cap: int, name: str) -> DataFrame:
-    """pair id and ``name``: how many of the shared tokens have a frequency within the cap."""
-    listed = pairs.select("s1", "cand", "country", F.explode(shared).alias("token"))
-    joined = listed.join(frequencies, ["country", "token"], "left").withColumn("df", F.coalesce("df", F.lit(0)))
-    return joined.groupBy("s1", "cand").agg(F.count_if(F.col("df") <= cap).alias(name))
-
-
 def missed_pairs(truth: DataFrame, pairs: DataFrame, info: DataFrame, cap: int = config.DEFAULT.bucket_cap) -> DataFrame:
     """One row per known pair whose reference record exists: s1, cand, found, s1_has_candidates,
     category, signal, jaccard and decile. The last four are null for pairs that were found;
-    for a missing record all but the category."""
-    some = pairs.select("s1").distinct().withColumn("some", F.lit(True))
-    hit = pairs.select("s1", "cand").distinct().withColumn("hit", F.lit(True))
-    left = info.select(F.col("entity_id").alias("s1"), "country", F.col("names").alias("a_names"), F.col("addresses").alias("a_addresses"), F.col("grams").alias("a_grams"))
+    for a missing record all but the category.
+
+    The known pairs meet their records and candidates once and are written; the tokens that
+    missed ones share are then counted against all frequencies in one join.
+    """
+    found = pairs.groupBy("s1").agg(F.collect_set("cand").alias("cands"))
+    left = info.where("src = 1").select(F.col("entity_id").alias("s1"), "country", F.col("names").alias("a_names"), F.col("addresses").alias("a_addresses"), F.col("grams").alias("a_grams"))
     right = info.select(F.col("entity_id").alias("cand"), F.col("country").alias("b_country"), F.col("names").alias("b_names"), F.col("addresses").alias("b_addresses"), F.col("grams").alias("b_grams"))
-    known = truth.select("s1", "cand").distinct().join(left, "s1").join(right, "cand", "left").join(some, "s1", "left").join(hit, ["s1", "cand"], "left")
-    known = known.withColumn("names", F.array_intersect("a_names", "b_names")).withColumn("addresses", F.array_intersect("a_addresses", "b_addresses"))
-    missed = known.where("hit is null and b_country is not null")
-    known = known.join(_frequent(missed, "names", token_frequencies(info, "names"), cap, "n_kept"), ["s1", "cand"], "left")
-    known = known.join(_frequent(missed, "addresses", token_frequencies(info, "addresses"), cap, "n_rare"), ["s1", "cand"], "left")
+    met = truth.select("s1", "cand").distinct().join(left, "s1").join(found, "s1", "left").join(right, "cand", "left")
+    hit = F.coalesce(F.array_contains("cands", F.col("cand")), F.lit(False))
+    compared = ~hit & F.col("b_country").isNotNull()
+    shared = [F.when(compared, F.array_intersect(f"a_{c}", f"b_{c}")).alias(c) for c in FIELDS]
+    empty = (F.size("a_addresses") == 0) | (F.size("b_addresses") == 0)
+    similar = F.when(compared, text.jaccard(F.col("a_grams"), F.col("b_grams")))
+    known = met.select("s1", "cand", "country", "b_country", hit.alias("found"), F.col("cands").isNotNull().alias("s1_has_candidates"), compared.alias("compared"), *shared, empty.alias("no_address"), similar.alias("jaccard"))
+    known = materialize(known, "known")
+    listed = known.where("compared").select("s1", "cand", "country", F.inline(_tagged()))
+    counted = listed.join(all_frequencies(info), ["country", "field", "token"], "left")
+    rare = F.coalesce("df", F.lit(0)) <= cap
+    counted = counted.groupBy("s1", "cand").agg(F.count_if(rare & (F.col("field") == "names")).alias("n_kept"), F.count_if(rare & (F.col("field") == "addresses")).alias("n_rare"))
+    known = known.join(counted, ["s1", "cand"], "left")
     category = (
-        F.when(F.col("hit"), None)
+        F.when(F.col("found"), None)
         .when(F.col("b_country").isNull(), "missing_record")
         .when(F.col("country") != F.col("b_country"), "country_mismatch")
         .when(F.size("names") == 0, "no_shared_name_token")
@@ -58,17 +79,14 @@ def missed_pairs(truth: DataFrame, pairs: DataFrame, info: DataFrame, cap: int =
         .otherwise("shared_kept_truncated")
     )
     signal = (
-        F.when((F.size("a_addresses") == 0) | (F.size("b_addresses") == 0), "addr_empty")
+        F.when(F.col("no_address"), "addr_empty")
         .when(F.coalesce("n_rare", F.lit(0)) > 0, "addr_rare_shared")
         .when(F.size("addresses") > 0, "addr_only_generic_shared")
         .otherwise("addr_nothing_shared")
     )
-    compared = F.col("hit").isNull() & F.col("b_country").isNotNull()
-    similar = F.when(compared, text.jaccard(F.col("a_grams"), F.col("b_grams")))
     return known.select(
-        "s1", "cand", "country", F.coalesce("hit", F.lit(False)).alias("found"), F.coalesce("some", F.lit(False)).alias("s1_has_candidates"),
-        category.alias("category"), F.when(compared, signal).alias("signal"), similar.alias("jaccard"),
-        F.when(compared, F.least(F.floor(similar * 10), F.lit(9))).cast("long").alias("decile"), F.when(compared, F.col("names")).alias("shared"),
+        "s1", "cand", "country", "found", "s1_has_candidates", category.alias("category"), F.when(F.col("compared"), signal).alias("signal"), "jaccard",
+        F.when(F.col("compared"), F.least(F.floor(F.col("jaccard") * 10), F.lit(9))).cast("long").alias("decile"), F.col("names").alias("shared"),
     )
 
 

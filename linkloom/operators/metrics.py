@@ -16,18 +16,13 @@ def recall(truth: DataFrame, pairs: DataFrame) -> DataFrame:
     return total.withColumn("recall", F.when(F.col("n_truth") == 0, 0.0).otherwise(F.col("n_found") / F.col("n_truth")))
 
 
-def run_stats(reference: DataFrame, others: DataFrame, postings: DataFrame, stats: DataFrame, pairs: DataFrame) -> DataFrame:
-    """One row: records and postings on either side, keys all, dropped and usable, pairs, pairs a record, records without any."""
-    per = reference.select(F.col("entity_id").alias("s1")).join(pairs.groupBy("s1").agg(F.count("*").alias("n")), "s1", "left")
-    parts = [
-        reference.agg(F.count("*").alias("n_reference")),
-        others.agg(F.count("*").alias("n_others")),
-        postings.agg(F.count("*").alias("n_postings")),
-        stats,
-        per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_pairs"), F.count_if(F.col("n").isNull()).alias("n_empty")),
-    ]
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+def run_stats(records: DataFrame, stats: DataFrame, pairs: DataFrame) -> DataFrame:
+    """One row: records (with src) on either side, ``index.index_stats``, pairs, pairs a record, reference records without any."""
+    sides = records.agg(F.count_if(F.col("src") == 1).alias("n_reference"), F.count_if(F.col("src") > 1).alias("n_others"))
+    found = pairs.agg(F.count("*").alias("n_pairs"), F.countDistinct("s1").alias("n_some"))
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [sides, stats, found])
     rows = rows.agg(*[F.max(c).alias(c) for c in rows.columns])
+    rows = rows.withColumn("n_empty", F.col("n_reference") - F.col("n_some")).drop("n_some")
     return rows.withColumn("pairs_per_record", F.when(F.col("n_reference") == 0, 0.0).otherwise(F.col("n_pairs") / F.col("n_reference")))
 
 

@@ -16,8 +16,8 @@ def split_rows(lines: DataFrame) -> DataFrame:
     parts = F.split("value", "\t", 2)
     has_tab = F.contains("value", F.lit("\t"))
     rest = F.when(has_tab, parts[1]).otherwise("")
-    ids = F.when(F.trim(rest) == "", F.array().cast("array<string>")).otherwise(F.split(rest, ","))
-    return lines.where(F.trim("value") != "").select(parts[0].alias("s1"), ids.alias("ids"), has_tab.alias("has_tab"), "line_no")
+    ids = F.when(~rest.rlike(r"\S"), F.array().cast("array<string>")).otherwise(F.split(rest, ","))
+    return lines.where(has_tab | F.col("value").rlike(r"\S")).select(parts[0].alias("s1"), ids.alias("ids"), has_tab.alias("has_tab"), "line_no")
 
 
 def good_rows(rows: DataFrame) -> DataFrame:
@@ -53,12 +53,14 @@ def listed_ids(rows: DataFrame) -> DataFrame:
 
 
 def self_matches(rows: DataFrame) -> DataFrame:
-    return listed_ids(rows).where(F.startswith("cand", F.lit("S1-"))).distinct()
+    """The distinct listed ids of source 1."""
+    return listed_ids(rows).where(F.startswith("cand", F.lit("S1-"))).select("cand").distinct()
 
 
 def bad_prefixes(rows: DataFrame) -> DataFrame:
+    """The distinct listed ids of no source."""
     right = reduce(lambda a, b: a | b, [F.startswith("cand", F.lit(p)) for p in ("S1-", "S2-", "S3-")])
-    return listed_ids(rows).where(~right).distinct()
+    return listed_ids(rows).where(~right).select("cand").distinct()
 
 
 def unknown_ids(rows: DataFrame, known: DataFrame) -> DataFrame:
@@ -77,9 +79,15 @@ def extra(rows: DataFrame, required: DataFrame) -> DataFrame:
     return good_rows(rows).select("s1").distinct().join(required.select(F.trim("entity_id").alias("s1")), "s1", "left_anti")
 
 
+def last_rows(rows: DataFrame) -> DataFrame:
+    """s1, ids: of rows with the same s1 the last counts."""
+    return good_rows(rows).groupBy("s1").agg(F.max_by("ids", "line_no").alias("ids"))
+
+
 def not_candidates(matches: DataFrame, candidates: DataFrame) -> DataFrame:
-    """s1 with a matched id that isn't among its candidates."""
-    return listed_ids(matches).join(listed_ids(candidates), ["s1", "cand"], "left_anti").select("s1").distinct()
+    """s1 with a matched id that isn't among its candidates, by the last row of either file."""
+    said, known = (last_rows(x).select("s1", F.explode("ids").alias("cand")) for x in (matches, candidates))
+    return said.join(known, ["s1", "cand"], "left_anti").select("s1").distinct()
 
 
 def header_problem(header: str | None, expected: tuple[str, str]) -> str | None:
@@ -94,13 +102,12 @@ def header_problem(header: str | None, expected: tuple[str, str]) -> str | None:
 def list_report(rows: DataFrame, required: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """The rules for one file, as severity, rule, n, examples. Ids are checked if ``known`` is given."""
     col = F.col
-    pair = F.concat_ws(" ", "s1", "cand")
     parts = [
         _report(malformed(rows), F.concat(F.lit("line "), F.lpad(col("line_no").cast("string"), 12, " ")), "row_without_tab", ERROR),
         _report(duplicate_rows(rows), col("s1"), "duplicate_row", ERROR),
         _report(repeated_ids(rows), col("s1"), "repeated_id", ERROR),
-        _report(self_matches(rows), pair, "self_match", ERROR),
-        _report(bad_prefixes(rows), pair, "bad_prefix", ERROR),
+        _report(self_matches(rows), col("cand"), "self_match", ERROR),
+        _report(bad_prefixes(rows), col("cand"), "bad_prefix", ERROR),
         _report(missing(rows, required), col("s1"), "missing_row", ERROR),
         _report(extra(rows, required), col("s1"), "extra_row", ERROR),
     ]

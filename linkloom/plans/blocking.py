@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import sys
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,17 +15,20 @@ from linkloom.operators import candidates, index, metrics, validate
 from linkloom.sources import tsv
 
 
+def blocking(records: DataFrame, settings: BlockingConfig = config.DEFAULT) -> candidates.Blocking:
+    """The run over ``records`` (with src): source 1 is the reference."""
+    return candidates.Blocking(records.where("src = 1"), records.where("src > 1"), settings)
+
+
 def candidate_pairs(records: DataFrame, settings: BlockingConfig = config.DEFAULT) -> DataFrame:
     """s1, candidate_ids, n_candidates for every record of source 1 in ``records`` (with src)."""
-    reference, others = records.where("src = 1"), records.where("src > 1")
-    return candidates.listed(reference, candidates.candidates(reference, others, settings))
+    run = blocking(records, settings)
+    return candidates.listed(run.reference, run.ranked)
 
 
 def run_stats(records: DataFrame, settings: BlockingConfig = config.DEFAULT) -> DataFrame:
-    reference, others = records.where("src = 1"), records.where("src > 1")
-    asked, postings = candidates.query_postings(reference, settings), candidates.index_postings(others, settings)
-    pairs = candidates.candidates(reference, others, settings)
-    return metrics.run_stats(reference, others, postings, index.index_stats(postings, asked, settings), pairs)
+    run = blocking(records, settings)
+    return metrics.run_stats(records, index.index_stats(run.counts, run.asked, settings), run.pairs)
 
 
 def generate_candidate_pairs(spark: SparkSession, paths: dict[int, str], out: str, settings: BlockingConfig = config.DEFAULT) -> DataFrame:
@@ -37,25 +41,23 @@ def validation_report(spark: SparkSession, matching: str, required: str, candida
     """severity, rule, n, examples for the result files: no row of severity E means they pass.
 
     A missing list of required records ends the check. Ids are held against the files of
-    ``known`` that exist.
+    ``known``, and not at all if one of them is absent. An absent candidate file is a warning.
     """
     if not _exists(spark, required):
         return _note(spark, validate.ERROR, "required_file_missing")
     wanted, ids = tsv.read_ids(spark, required), None
     parts = []
-    for path in known or []:
-        if not _exists(spark, path):
-            parts.append(_note(spark, validate.WARNING, "id_file_absent"))
-            continue
-        part = tsv.read_ids(spark, path)
-        ids = part if ids is None else ids.unionByName(part)
+    if not known:
+        parts.append(_note(spark, validate.WARNING, "ids_not_checked"))
+    elif not all(_exists(spark, path) for path in known):
+        parts.append(_note(spark, validate.WARNING, "id_file_absent"))
+    else:
+        ids = reduce(DataFrame.unionByName, [tsv.read_ids(spark, path) for path in known])
     tables = {}
     for name, path, column in (("matching", matching, "matched_entity_ids"), ("candidate", candidate, "candidate_entity_ids")):
-        if path is None:
-            parts.append(_note(spark, validate.WARNING, f"{name}_file_absent"))
-            continue
-        if not _exists(spark, path):
-            parts.append(_note(spark, validate.ERROR, f"{name}_file_missing"))
+        if path is None or not _exists(spark, path):
+            optional = name == "candidate"
+            parts.append(_note(spark, validate.WARNING if optional else validate.ERROR, f"{name}_file_{'absent' if optional else 'missing'}"))
             continue
         lines = tsv.read_lines(spark, path)
         parts.append(validate.encoding_report(lines).withColumn("rule", F.concat(F.lit(f"{name}_"), "rule")))
@@ -66,14 +68,10 @@ def validation_report(spark: SparkSession, matching: str, required: str, candida
             continue
         tables[name] = validate.split_rows(lines.where("line_no > 1"))
         parts.append(validate.list_report(tables[name], wanted, ids).withColumn("rule", F.concat(F.lit(f"{name}_"), "rule")))
-    if ids is None:
-        parts.append(_note(spark, validate.WARNING, "ids_not_checked"))
     if len(tables) == 2:
         parts.append(validate.subset_report(tables["matching"], tables["candidate"]))
-    report = parts[0]
-    for part in parts[1:]:
-        report = report.unionByName(part)
-    return report
+    parts.append(_note(spark, validate.ERROR, "none").limit(0))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

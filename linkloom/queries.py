@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from linkloom.functions import keys, text
 from linkloom.operators import candidates, diagnose, index, matching, metrics, validate
 from linkloom.plans import blocking, views
 from linkloom.sources import tsv
+from linkloom.sources.storage import materialize
 
 #: Limits that bite on the small test tables.
 TIGHT = BlockingConfig(bucket_cap=20, fanout_budget=30, top_n=5)
@@ -26,50 +28,39 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
-class _Run:
-    """The tables that the queries of one call share."""
+class _Run(candidates.Blocking):
+    """The tables that the queries of one call share, each computed once."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, settings: BlockingConfig = config.DEFAULT):
-        self.settings = settings
-        self.records = views.noisy(spark, sf_dir)
-        self.reference, self.others = self.records.where("src = 1"), self.records.where("src > 1")
-        self.truth = views.truth(spark, sf_dir)
+    def __init__(self, spark: SparkSession, sf_dir: str, settings: BlockingConfig = config.DEFAULT, odd: bool = False):
+        self.view, self.settings, self.odd = views.noisy(spark, sf_dir), settings, odd
 
-    @property
-    def asked(self) -> DataFrame:
-        return candidates.query_postings(self.reference, self.settings)
-
-    @property
-    def postings(self) -> DataFrame:
-        return candidates.index_postings(self.others, self.settings)
-
-    @property
-    def stats(self) -> DataFrame:
-        return index.key_stats(self.postings, self.settings)
+    @cached_property
+    def records(self) -> DataFrame:
+        return materialize(self.view, "records")
 
     @property
-    def hits(self) -> DataFrame:
-        return candidates.hits(self.asked, self.stats)
+    def reference(self) -> DataFrame:
+        return self.records.where("src = 1")
 
     @property
-    def kept(self) -> DataFrame:
-        return candidates.within_budget(self.hits, self.settings.fanout_budget)
+    def others(self) -> DataFrame:
+        return self.records.where("src > 1")
 
-    @property
-    def scored(self) -> DataFrame:
-        return candidates.scored(candidates.expand(self.kept, self.postings))
+    @cached_property
+    def truth(self) -> DataFrame:
+        return materialize((views.odd_truth if self.odd else views.truth)(self.records), "truth")
 
-    @property
-    def pairs(self) -> DataFrame:
-        return candidates.ranked(self.scored, self.settings.top_n)
+    @cached_property
+    def info(self) -> DataFrame:
+        return materialize(diagnose.described(self.records), "described")
 
     @property
     def known(self) -> DataFrame:
-        return diagnose.missed_pairs(self.truth, self.pairs, diagnose.described(self.records), self.settings.bucket_cap)
+        return diagnose.missed_pairs(self.truth, self.pairs, self.info, self.settings.bucket_cap)
 
     @property
     def folded(self) -> DataFrame:
-        return text.with_folded(self.records)
+        return text.with_folded(self.view)
 
 
 def _values(name: str, value: Callable[[], F.Column]) -> None:
@@ -112,12 +103,12 @@ def trigram_jaccard(spark, sf_dir):
     run = _Run(spark, sf_dir)
     grams = run.folded.select("entity_id", text.trigrams(text.normalized_name(F.col("folded.name"))).alias("g"))
     a, b = grams.select(F.col("entity_id").alias("s1"), F.col("g").alias("ga")), grams.select(F.col("entity_id").alias("cand"), F.col("g").alias("gb"))
-    return run.truth.join(a, "s1").join(b, "cand").select("s1", "cand", F.round(text.jaccard(F.col("ga"), F.col("gb")), 6).alias("jaccard"))
+    return views.truth(run.view).join(a, "s1").join(b, "cand").select("s1", "cand", F.round(text.jaccard(F.col("ga"), F.col("gb")), 6).alias("jaccard"))
 
 
 def _keyed(name: str, types: tuple[int, ...]) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = keys.record_keys(_Run(spark, sf_dir).records, "entity_id", settings=BlockingConfig(key_types=types))
+        rows = keys.record_keys(views.noisy(spark, sf_dir), "entity_id", settings=BlockingConfig(key_types=types))
         return rows.select("entity_id", F.col("key_type").cast("long").alias("key_type"), "key")
 
     QUERIES[name] = run
@@ -164,11 +155,36 @@ def tsv_round_trip(spark, sf_dir):
 
 @query
 def raw_lines(spark, sf_dir):
+    """A file in the order of its lines."""
     path = f"{views.scratch(spark)}/lines"
-    views.noisy(spark, sf_dir).select(F.concat_ws("\t", "entity_id", "country")).write.mode("overwrite").text(path)
+    views.write_file(views.noisy(spark, sf_dir).select(F.concat_ws("\t", "entity_id", "country").alias("value")), "", path)
     return tsv.read_lines(spark, path)
 
 
+@query
+def read_ids(spark, sf_dir):
+    """The ids of a source file with blank lines, blanks around ids and repeated rows."""
+    path = f"{views.scratch(spark)}/ids"
+    rows = views.noisy(spark, sf_dir).where("src = 1")
+    kinds = [F.concat(F.lit(" "), "entity_id", F.lit(" \t"), "country"), F.concat("entity_id", F.lit("\tx")), F.lit("  ")]
+    views.write_file(rows.select(F.explode(F.array(*kinds)).alias("value")), "entity_id\tcountry", path)
+    return tsv.read_ids(spark, path)
+
+
+@query
+def read_sources(spark, sf_dir):
+    """The records through three files with a header, quoted fields, and short rows where the country is missing."""
+    folder, base, paths = views.scratch(spark), views.noisy(spark, sf_dir), {}
+    number = F.substring("entity_id", 4, 20).cast("long")
+    name, address = (F.translate(c, '"\t', "") for c in ("business_name", "business_address"))
+    quoted = F.concat(F.lit('"a ""b"" '), name, F.lit('"'))
+    line = F.concat_ws("\t", "entity_id", F.when(number % 3 == 0, quoted).otherwise(name), address, F.when(number % 7 != 0, F.col("country")))
+    for src in (1, 2, 3):
+        paths[src] = f"{folder}/source{src}"
+        views.write_file(base.where(F.col("src") == src).select(line.alias("value")), "entity_id\tbusiness_name\tbusiness_address\tcountry", paths[src])
+    return tsv.read_sources(spark, paths).select("entity_id", "business_name", "business_address", "country", "src")
+
+
 def _both(name: str, f: Callable[[_Run], DataFrame], kind: str = "tight", settings: BlockingConfig = TIGHT) -> None:
     QUERIES[name] = lambda spark, sf_dir: f(_Run(spark, sf_dir))
     QUERIES[f"{name}_{kind}"] = lambda spark, sf_dir: f(_Run(spark, sf_dir, settings))
@@ -180,20 +196,28 @@ _both("query_prune_semi", lambda r: index.prune(r.stats, r.asked).select("key",
 _both("key_lookup", lambda r: r.hits.select("s1", "key", "cnt"))
 _both("fanout", lambda r: candidates.fanout(r.hits))
 _both("fanout_budget", lambda r: r.kept.select("s1", "key", "cnt"))
-_both("expand_postings", lambda r: candidates.expand(r.kept, r.postings).select("s1", "cand", F.round("weight", 6).alias("weight")))
+_both("expand_postings", lambda r: candidates.expand(r.kept, r.usable_postings).select("s1", "cand", F.round("weight", 6).alias("weight")))
 _both("scored_candidates", lambda r: r.scored.select("s1", "cand", F.round("score", 6).alias("score"), "n_keys"))
 _both("topn_candidates", lambda r: r.pairs.select("s1", "cand", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank")))
 _both("candidate_pairs", lambda r: candidates.listed(r.reference, r.pairs))
 _both("recall", lambda r: metrics.recall(r.truth, r.pairs).withColumn("recall", F.round("recall", 9)))
 _both("f05_macro", lambda r: metrics.f05(r.reference, r.truth, r.pairs).withColumn("f05_macro", F.round("f05_macro", 9)))
 _both("reduction_ratio", lambda r: metrics.reduction_ratio(r.reference, r.others, r.pairs).withColumn("reduction_ratio", F.round("reduction_ratio", 9)))
-_both("missed_pairs", lambda r: r.known.select("s1", "cand", F.col("found").cast("long").alias("found"), "category", "signal", F.round("jaccard", 6).alias("jaccard"), "decile"), "harsh", HARSH)
-_both("failure_buckets", lambda r: diagnose.failure_buckets(r.known).withColumn("share", F.round("share", 9)), "harsh", HARSH)
-_both("miss_by_source", lambda r: diagnose.miss_by_source(r.known), "harsh", HARSH)
-_both("miss_by_country", lambda r: diagnose.miss_by_country(r.known), "harsh", HARSH)
-_both("miss_zero_cand", lambda r: diagnose.miss_zero_candidates(r.known), "harsh", HARSH)
-_both("addr_rescue", lambda r: diagnose.address_rescue(r.known), "harsh", HARSH)
-_both("trigram_deciles", lambda r: diagnose.trigram_deciles(r.known), "harsh", HARSH)
+
+
+def _misses(name: str, f: Callable[[_Run], DataFrame]) -> None:
+    """With the default limits, with such as lose pairs, and with those and pairs that can't be found."""
+    _both(name, f, "harsh", HARSH)
+    QUERIES[f"{name}_odd"] = lambda spark, sf_dir: f(_Run(spark, sf_dir, HARSH, odd=True))
+
+
+_misses("missed_pairs", lambda r: r.known.select("s1", "cand", F.col("found").cast("long").alias("found"), "category", "signal", F.round("jaccard", 6).alias("jaccard"), "decile"))
+_misses("failure_buckets", lambda r: diagnose.failure_buckets(r.known).withColumn("share", F.round("share", 9)))
+_misses("miss_by_source", lambda r: diagnose.miss_by_source(r.known))
+_misses("miss_by_country", lambda r: diagnose.miss_by_country(r.known))
+_misses("miss_zero_cand", lambda r: diagnose.miss_zero_candidates(r.known))
+_misses("addr_rescue", lambda r: diagnose.address_rescue(r.known))
+_misses("trigram_deciles", lambda r: diagnose.trigram_deciles(r.known))
 
 
 @query
@@ -203,7 +227,7 @@ def bucket_counts(spark, sf_dir):
 
 @query
 def run_stats(spark, sf_dir):
-    return blocking.run_stats(views.noisy(spark, sf_dir), TIGHT).withColumn("pairs_per_record", F.round("pairs_per_record", 9))
+    return blocking.run_stats(_Run(spark, sf_dir).records, TIGHT).withColumn("pairs_per_record", F.round("pairs_per_record", 9))
 
 
 @query
@@ -232,33 +256,32 @@ def sample_semi(spark, sf_dir):
 
 @query
 def country_pivot(spark, sf_dir):
-    return diagnose.country_counts(_Run(spark, sf_dir).records)
+    return diagnose.country_counts(views.noisy(spark, sf_dir))
 
 
 @query
 def top_countries(spark, sf_dir):
-    return diagnose.top_countries(_Run(spark, sf_dir).records, 3)
+    return diagnose.top_countries(views.noisy(spark, sf_dir), 3)
 
 
 @query
 def name_df(spark, sf_dir):
-    return diagnose.token_frequencies(diagnose.described(_Run(spark, sf_dir).records), "names")
+    return diagnose.token_frequencies(diagnose.described(views.noisy(spark, sf_dir)), "names")
 
 
 @query
 def addr_df(spark, sf_dir):
-    return diagnose.token_frequencies(diagnose.described(_Run(spark, sf_dir).records), "addresses")
+    return diagnose.token_frequencies(diagnose.described(views.noisy(spark, sf_dir)), "addresses")
 
 
 @query
 def bucket_examples(spark, sf_dir):
-    run = _Run(spark, sf_dir, HARSH)
-    return diagnose.examples(run.known, diagnose.token_frequencies(diagnose.described(run.records), "names"))
+    run = _Run(spark, sf_dir, HARSH, odd=True)
+    return diagnose.examples(run.known, diagnose.token_frequencies(run.info, "names")).select("category", F.col("no").cast("long").alias("no"), "s1", "cand", F.round("jaccard", 6).alias("jaccard"), "shared")
 
 
-def _lines(spark: SparkSession, sf_dir: str, faults: bool) -> DataFrame:
+def _lines(run: _Run, faults: bool) -> DataFrame:
     """Result rows (s1, ids, has_tab, line_no) of the known pairs, with faults put in by number."""
-    run = _Run(spark, sf_dir)
     ids = run.truth.groupBy("s1").agg(F.array_join(F.sort_array(F.collect_list("cand")), ",").alias("ids"))
     rows = run.reference.select(F.col("entity_id").alias("s1"), F.substring("entity_id", 4, 20).cast("long").alias("n")).join(ids, "s1", "left")
     if not faults:
@@ -267,13 +290,18 @@ def _lines(spark: SparkSession, sf_dir: str, faults: bool) -> DataFrame:
     rows = rows.withColumn("ids", F.concat_ws(",", "ids", *odd))
     line = F.when(F.col("n") % 29 == 0, F.col("s1")).otherwise(F.concat("s1", F.lit("\t"), "ids"))
     lines = rows.where("n % 7 <> 0").select(line.alias("value"), F.col("n").alias("line_no"))
-    again = rows.where("n % 11 = 0 and n % 7 <> 0").select(line.alias("value"), F.col("n").alias("line_no"))
+    fewer = F.when(F.col("n") % 2 == 0, F.concat("s1", F.lit("\tS3-888"))).otherwise(F.concat("s1", F.lit("\t")))
+    again = rows.where("n % 11 = 0 and n % 7 <> 0").select(fewer.alias("value"), (F.col("n") + 1_000_000_000).alias("line_no"))
     more = rows.where("n % 31 = 0").select(F.concat(F.lit("S1-x"), "n", F.lit("\t")).alias("value"), F.col("n").alias("line_no"))
     return validate.split_rows(lines.unionByName(again).unionByName(more))
 
 
 def _checked(name: str, f: Callable[[DataFrame, _Run], DataFrame]) -> None:
-    QUERIES[name] = lambda spark, sf_dir: f(_lines(spark, sf_dir, True), _Run(spark, sf_dir))
+    def one(spark: SparkSession, sf_dir: str) -> DataFrame:
+        run = _Run(spark, sf_dir)
+        return f(materialize(_lines(run, True), "lines"), run)
+
+    QUERIES[name] = one
 
 
 _checked("val_malformed", lambda rows, run: validate.malformed(rows))
@@ -289,13 +317,55 @@ _checked("validation_report", lambda rows, run: validate.list_report(rows, run.r
 
 @query
 def val_subset(spark, sf_dir):
-    return validate.not_candidates(_lines(spark, sf_dir, True), _lines(spark, sf_dir, False))
+    return validate.not_candidates(_lines(_Run(spark, sf_dir), True), _lines(_Run(spark, sf_dir), False))
+
+
+_GOOD = ("source1_entity_id\tmatched_entity_ids", "source1_entity_id\tcandidate_entity_ids")
+#: Headers of the two files (None: no file), and what else is odd.
+_FILES = {
+    "good": (*_GOOD, ""),
+    "comma": (_GOOD[0].replace("\t", ","), _GOOD[1], ""),
+    "header": (_GOOD[0], "entity\tcandidate_entity_ids", ""),
+    "empty": ("", _GOOD[1], ""),
+    "encoding": (*_GOOD, "bytes"),
+    "short": (*_GOOD, "half"),
+    "absent": (None, None, ""),
+    "no_ids": (*_GOOD, "ids"),
+    "unasked": (*_GOOD, "required"),
+}
+
+
+@query
+def val_files(spark, sf_dir):
+    """The report on files that are right, absent, empty, short, not UTF-8 or have a wrong header, and the exit code of each check."""
+    run, folder = _Run(spark, sf_dir), views.scratch(spark)
+    lists = candidates.listed(run.reference, run.truth.withColumn("rank", F.lit(1)))
+    lines = materialize(lists.select("s1", F.concat("s1", F.lit("\t"), "candidate_ids").alias("value")), "lists")
+    for src in (1, 2, 3):
+        own = run.records.where(F.col("src") == src).select(F.concat("entity_id", F.lit("\tx")).alias("value"))
+        views.write_file(own, "entity_id\tbusiness_name", f"{folder}/source{src}")
+    bad = spark.range(1).select(F.concat(F.lit("S1-bad\tS2-"), F.unhex(F.lit("FF")).cast("string")).alias("value"))
+    out = None
+    for name, (first, second, odd) in _FILES.items():
+        matching_path, candidate_path = f"{folder}/{name}-matching", f"{folder}/{name}-candidate"
+        if first is not None:
+            own = lines.where(F.substring("s1", 4, 20).cast("long") % 2 == 0) if odd == "half" else lines
+            own = own.select("value").unionByName(bad) if odd == "bytes" else own.select("value")
+            views.write_file(own if first else own.limit(0), first, matching_path)
+            views.write_file(lines.select("value"), second, candidate_path)
+        required = f"{folder}/none" if odd == "required" else f"{folder}/source1"
+        ids = [f"{folder}/source2", f"{folder}/none" if odd == "ids" else f"{folder}/source3"]
+        report = materialize(blocking.validation_report(spark, matching_path, required, candidate_path, ids).select("severity", "rule", "n"), "report")
+        code = report.agg(F.lit("X").alias("severity"), F.lit("exit_code").alias("rule"), F.coalesce(F.max((F.col("severity") == "E").cast("long")), F.lit(0)).alias("n"))
+        part = report.unionByName(code).select(F.lit(name).alias("file"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query
 def pair_features(spark, sf_dir):
     run = _Run(spark, sf_dir, TIGHT)
-    rows = matching.features(run.pairs.select("s1", "cand"), run.records)
+    rows = matching.features(run.pairs.select("s1", "cand"), views.posted(run.records))
     numbers = [F.round(c, 6).alias(c) for c in ("name_jaccard", "trigram_jaccard", "name_edit")]
     return rows.select("s1", "cand", *numbers, F.col("same_postcode").cast("long").alias("same_postcode"))
 
@@ -303,7 +373,26 @@ def pair_features(spark, sf_dir):
 @query
 def phonetic(spark, sf_dir):
     run = _Run(spark, sf_dir, TIGHT)
-    return matching.features(run.pairs.select("s1", "cand"), run.records).where("same_sound").select("s1", "cand")
+    return matching.features(run.pairs.select("s1", "cand"), run.records).select("s1", "cand", F.col("same_sound").cast("long").alias("same_sound"))
+
+
+@query
+def threshold_sweep(spark, sf_dir):
+    """The mean name similarity as confidence, at each of 20 thresholds."""
+    run = _Run(spark, sf_dir, TIGHT)
+    scored = matching.matches(matching.features(run.pairs.select("s1", "cand"), run.records), 0.0)
+    sweep = matching.threshold_sweep(scored.withColumn("confidence", F.round("confidence", 6)), run.truth)
+    return sweep.select(F.round("threshold", 6).alias("threshold"), "n_said", "n_hit", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f05")])
+
+
+@query
+def classifier_sweep(spark, sf_dir):
+    """The thresholds of a logistic regression that learned from half of the reference records, on the other half."""
+    run = _Run(spark, sf_dir, TIGHT)
+    featured = materialize(matching.features(run.pairs.select("s1", "cand"), run.records), "features")
+    half = F.pmod(F.xxhash64("s1"), F.lit(2)) == 0
+    model = matching.fit_classifier(featured.where(half), run.truth.where(half))
+    return matching.threshold_sweep(matching.classify(featured.where(~half), model), run.truth.where(~half))
 
 
 @query

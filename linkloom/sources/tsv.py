@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,25 +47,23 @@ def read_pairs(spark: SparkSession, path: str, column: str = "matched_entity_ids
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """entity_id: the distinct trimmed first fields behind the header."""
     lines = read_lines(spark, path).where("line_no > 1")
-    return lines.where(F.trim("value") != "").select(F.trim(F.split("value", "\t", 2)[0]).alias("entity_id")).distinct()
+    return lines.where(F.col("value").rlike(r"\S")).select(F.trim(F.split("value", "\t", 2)[0]).alias("entity_id")).distinct()
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """value and line_no (from 1) of a text file, unquoted.
 
     Numbers follow file order: lines are counted within splits and offset by the sizes of
-    those before, so no split waits for another.
+    those before, so no split waits for another. The offsets are a row of 16 bytes for each
+    split, which every executor gets.
     """
     lines = spark.read.text(path).withColumn("at", F.monotonically_increasing_id())
     part = F.shiftright("at", 33)
     lines = lines.select("value", part.alias("part"), (F.col("at") - F.shiftleft(part, 33)).alias("i"))
-    sizes = [(r["part"], r["n"]) for r in lines.groupBy("part").agg(F.count("*").alias("n")).orderBy("part").collect()]  # a row per split
-    before, total = [], 0
-    for number, n in sizes:
-        before.append((number, total))
-        total += n
-    starts = F.create_map(*[F.lit(x) for pair in before for x in pair]) if before else F.create_map(F.lit(0), F.lit(0))
-    return lines.select("value", (F.try_element_at(starts, F.col("part").cast("int")) + F.col("i") + 1).alias("line_no"))
+    sizes = lines.groupBy("part").agg(F.count("*").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # over a row per split
+    starts = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    return lines.join(F.broadcast(starts), "part").select("value", (F.col("first") + F.col("i") + 1).alias("line_no"))
 
 
 def write_pairs(listed: DataFrame, path: str, column: str = "candidate_entity_ids", single_file: bool = False) -> None:

@@ -5,9 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from linkloom.config import BlockingConfig
-from linkloom.operators import candidates, index, matching, metrics, validate
+from linkloom.operators import candidates, diagnose, index, matching, metrics, validate
 from linkloom.plans import blocking
-from linkloom.sources import tsv
+from linkloom.sources import storage, tsv
+from linkloom.sources.storage import materialize
 from linkloom.streaming import lookup
 
 
@@ -203,6 +204,58 @@ def test_line_numbers(spark, tmp_path):
     assert len(rows) == 2000 and all(r["value"] == f"line {r['line_no']}" for r in rows)
 
 
+def test_ids_count_once_and_the_last_row_counts(spark):
+    lines = [("S1-1\tX-1,S1-5", 2), ("S1-2\tX-1,S1-5,S2-9", 3), ("S1-2\tS2-1", 4), ("S1-3\tS2-1", 5), ("S1-3\t", 6)]
+    rows = validate.split_rows(spark.createDataFrame(lines, "value string, line_no long"))
+    assert [tuple(r) for r in validate.bad_prefixes(rows).collect()] == [("X-1",)]
+    assert [tuple(r) for r in validate.self_matches(rows).collect()] == [("S1-5",)]
+    known = validate.split_rows(spark.createDataFrame([("S1-1\tX-1,S1-5", 2), ("S1-2\tS2-1", 3)], "value string, line_no long"))
+    assert validate.not_candidates(rows, known).collect() == []
+    assert sorted(r["s1"] for r in validate.not_candidates(known, rows).collect()) == []
+
+
+def test_hot_keys_go_before_any_shuffle(spark, random_records):
+    counts = spark.createDataFrame([("a", 1, 5), ("b", 1, 2000), ("c", 1, 2001), ("d", 1, 90_000)], "key string, key_type int, cnt long")
+    rows = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), ("d", 4), ("d", 5)], "key string, cand int")
+    for most in (10, 1):
+        kept = index.without_hot(rows, counts, most=most)
+        assert sorted(r["cand"] for r in kept.collect()) == [1, 2]
+    assert "SortMergeJoin" not in kept_plan(index.without_hot(rows, counts))
+    tight = BlockingConfig(bucket_cap=4, top_n=None)
+    found = candidates.Blocking(random_records.where("src = 1"), random_records.where("src > 1"), tight)
+    whole = candidates.ranked(candidates.scored(candidates.expand(found.kept, found.postings)), None)
+    assert found.usable_postings.count() < found.postings.count()
+    assert sorted(map(tuple, found.ranked.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def kept_plan(frame):
+    plan = frame._jdf.queryExecution().toString()
+    return plan[plan.index("== Physical Plan ==") :]
+
+
+def test_scans(spark, random_records):
+    """Keys are extracted once a side, whatever is asked of a run."""
+    run = candidates.Blocking(random_records.where("src = 1"), random_records.where("src > 1"))
+    truth = random_records.where("src = 1").selectExpr("entity_id as s1", "replace(entity_id, 'S1', 'S2') as cand")
+    known = diagnose.missed_pairs(truth, run.pairs, materialize(diagnose.described(random_records), "info"))
+    assert kept_plan(known).count("FileScan") <= 4 and "Arrow" not in kept_plan(known)
+    stats = blocking.run_stats(random_records)
+    assert kept_plan(stats).count("FileScan") <= 4 and "ArrowEvalPython" not in kept_plan(stats)
+    assert kept_plan(run.ranked).count("FileScan") <= 5 and "ArrowEvalPython" not in kept_plan(run.ranked)
+
+
+def test_own_files_alone_are_released(spark):
+    table = materialize(spark.range(3), "t")
+    other = storage.shared_dir(spark) + "/linkloom/other"
+    spark.range(2).write.mode("overwrite").parquet(other)
+    assert table.count() == 3
+    path = storage.run_dir(spark)
+    storage.release(spark)
+    assert storage.run_dir(spark) != path and spark.read.parquet(other).count() == 2
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(path)
+
+
 def test_bad_prefix_rule(spark):
     rows = validate.split_rows(spark.createDataFrame([("S1-1\tX-1,S2-1", 2)], "value string, line_no long"))
     assert [r["cand"] for r in validate.bad_prefixes(rows).collect()] == ["X-1"]
@@ -215,7 +268,7 @@ def test_missing_files_and_encoding(spark, tmp_path):
     bad.write_bytes(HEAD.encode() + b"S1-1\tS2-\xff\n")
     rules = lambda *a: {(r["severity"], r["rule"]) for r in blocking.validation_report(spark, *a).collect()}
     assert rules(str(good), str(tmp_path / "none")) == {("E", "required_file_missing")}
-    assert rules(str(tmp_path / "none"), str(good), None, [str(tmp_path / "gone")]) == QUIET | {("E", "matching_file_missing"), ("W", "id_file_absent")}
+    assert rules(str(tmp_path / "none"), str(good), str(tmp_path / "none"), [str(good), str(tmp_path / "gone")]) == {("W", "candidate_file_absent"), ("E", "matching_file_missing"), ("W", "id_file_absent")}
     assert rules(str(bad), str(good)) == QUIET | {("E", "matching_not_utf8")}
 
 

@@ -25,7 +25,7 @@ def plain(rows):
     return sorted(tuple(f"{x:.6f}" if isinstance(x, float) else str(x) for x in r) for r in rows)
 
 
-CHECKED = ["clean_name", "name_block_tokens", "addr_parts", "record_keys", "fanout_budget_tight", "candidate_pairs_tight", "missed_pairs_harsh", "run_stats", "validation_report", "pair_features", "tfidf_cosine"]
+CHECKED = ["clean_name", "name_block_tokens", "addr_parts", "record_keys", "fanout_budget_tight", "candidate_pairs_tight", "missed_pairs_harsh", "run_stats", "validation_report", "val_subset", "val_files", "read_ids", "read_sources", "raw_lines", "missed_pairs_odd", "bucket_examples", "phonetic", "threshold_sweep", "pair_features", "tfidf_cosine"]
 
 
 @pytest.mark.parametrize("name", CHECKED)
@@ -54,3 +54,12 @@ def test_entry_without_the_subpackage(monkeypatch):
     monkeypatch.delitem(sys.modules, "__spark_entry__")
     again = importlib.import_module("__spark_entry__")
     assert set(again.queries()) == set(QUERIES)
+
+
+def test_entry_tells_of_other_missing_modules(monkeypatch):
+    for name in [m for m in sys.modules if m == "corpus_pipeline" or m.startswith("linkloom.llm")]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "public_tokenizers", None)
+    monkeypatch.delitem(sys.modules, "__spark_entry__")
+    with pytest.raises(ModuleNotFoundError):
+        importlib.import_module("__spark_entry__")
