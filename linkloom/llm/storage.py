@@ -1,54 +1,5 @@
-"""Intermediate tables in the folder that the cluster shares."""
+"""Intermediate tables of the operators, in this application's folder of ``spark.checkpoint.dir``."""
 
-from __future__ import annotations
+from linkloom.sources.storage import local_path, materialize, new_path, release, run_dir, shared_dir
 
-import os
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-_OWN: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a temporary one only in local mode."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if found:
-        return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    key = spark.sparkContext.applicationId
-    if key not in _OWN:
-        _OWN[key] = "file://" + tempfile.mkdtemp(prefix="linkloom-")
-    return _OWN[key]
-
-
-def new_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/linkloom/{tag}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: lineage ends here.
-
-    The file outlives any executor, so a lost one costs no upstream work. ``release``
-    removes the files of a finished query.
-    """
-    spark = df.sparkSession
-    path = new_path(spark, tag)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def release(spark: SparkSession) -> None:
-    """Delete every intermediate table of this library. Only call it when no result is still to be read."""
-    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/linkloom")
-    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
-
-
-def local_path(path: str) -> str | None:
-    """The plain path of a file: URI, None for any other scheme."""
-    if path.startswith("file:"):
-        rest = path[5:]
-        return "/" + rest.lstrip("/")
-    return path if os.path.isabs(path) else None
+__all__ = ["local_path", "materialize", "new_path", "release", "run_dir", "shared_dir"]
