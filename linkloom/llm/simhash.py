@@ -7,7 +7,8 @@ least one differing bit lies in some block, so with that block masked they diffe
 emits, for each masked block, itself and its 48 one-flip variants: 4 * 49 = 196 keys.
 (Rounding half the radius up to 2 over all 64 bits takes 2,081 keys.) Equal keys meet in one
 bucket; a bucket holds at most 2**16 * 49 fingerprints whatever the input, and yields a
-forest of its verified links, at most one row a member, never all pairs.
+forest of its verified links, at most one row a member, never all pairs, in large buckets
+without comparing all pairs.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ SHINGLE = 3
 RADIUS = 3
 SEED = 42
 _STEP = 1 << 16
+#: Prints of a bucket that are compared each with each.
+DENSE = 4096
 
 
 def fingerprint(text: bytes | None) -> int:
@@ -97,6 +100,49 @@ def forest(prints: np.ndarray, radius: int = RADIUS) -> tuple[list[np.ndarray],
     return roots, members
 
 
+def dense_forest(prints: np.ndarray, key: np.uint64) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The same for the many distinct prints of one bucket, without comparing each with each.
+
+    Outside the masked block a print has the key's bits, or one flip. Prints of one value of
+    the block are linked, whatever their flips; values at distance 1 are, too; at distance 2 if
+    they share a flip or one has a print without, at distance 3 if they share one. So labels
+    spread over the 65,536 values along 696 masks, and over labels of labels, until none changes.
+    """
+    for block in range(4):
+        low = np.uint64(16 * block)
+        outside = (prints ^ key) & np.uint64(((1 << 64) - 1) ^ (0xFFFF << 16 * block))
+        if (np.bitwise_count(outside) <= 1).all():
+            break
+    else:
+        return forest(prints)
+    value = ((prints >> low) & np.uint64(0xFFFF)).astype(np.int64)
+    # bit 0 of flips: a print without a flip; the masked block's own bits never flip
+    at = np.where(outside == 0, 0, 1 + np.bitwise_count(outside - np.uint64(1)).astype(np.int64))
+    at -= 16 * (at > 16 * block + 16)
+    flips = np.zeros(1 << 16, np.uint64)
+    np.bitwise_or.at(flips, value, np.uint64(1) << at.astype(np.uint64))
+    every, label = np.arange(1 << 16), np.where(flips > 0, np.arange(1 << 16), 1 << 16)
+    masks = [m for m in range(1, 1 << 16) if m.bit_count() <= RADIUS]
+    while True:
+        before = label.copy()
+        for m in masks:
+            other, shared = flips[every ^ m], flips & flips[every ^ m]
+            near = (flips > 0) & (other > 0)
+            if m.bit_count() == 2:
+                near &= (shared > 0) | ((flips | other) & np.uint64(1) > 0)
+            elif m.bit_count() == 3:
+                near &= shared > 0
+            label = np.where(near, np.minimum(label, label[every ^ m]), label)
+        label = np.minimum(label, np.append(label, 1 << 16)[label])
+        if (label == before).all():
+            break
+    first = np.full((1 << 16) + 1, len(prints))
+    np.minimum.at(first, label[value], np.arange(len(prints)))
+    root = first[label[value]]
+    member = root != np.arange(len(prints))
+    return [prints[root[member]]], [prints[member]]
+
+
 def _bucket_links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["a", "b"]
     for table in whole_groups(batches, "key"):
@@ -107,7 +153,8 @@ def _bucket_links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         near = np.bitwise_count(prints[two] ^ prints[two + 1]) <= RADIUS
         roots, members = [prints[two][near]], [prints[two + 1][near]]
         for i in np.flatnonzero(size > 2):
-            r, m = forest(np.unique(prints[at[i] : at[i + 1]]))
+            own = np.unique(prints[at[i] : at[i + 1]])
+            r, m = forest(own) if len(own) <= DENSE else dense_forest(own, keys[at[i] : at[i] + 1].view(np.uint64)[0])
             roots += r
             members += m
         found = np.stack([np.concatenate(roots), np.concatenate(members)], axis=1)

@@ -82,3 +82,28 @@ def test_components(spark):
 
 def test_empty(spark):
     assert simhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_large_buckets_against_all_pairs():
+    """Prints of one bucket, dense and thin, for each masked block."""
+    rng = np.random.default_rng(8)
+    for block in range(4):
+        for n in (30, 400, 3000):
+            key = np.uint64(rng.integers(0, 1 << 63)) & ~np.uint64(0xFFFF << 16 * block) | np.uint64(block + 1 << 16 * block)
+            values = rng.integers(0, 1 << 16, n).astype(np.uint64) << np.uint64(16 * block)
+            places = np.array([b for b in range(64) if not 16 * block <= b < 16 * block + 16], np.uint64)
+            flips = np.where(rng.random(n) < 0.3, np.uint64(0), np.uint64(1) << rng.choice(places, n))
+            prints = np.unique((key & ~np.uint64(0xFFFF << 16 * block) | values) ^ flips)
+            found = []
+            for roots, members in (simhash.forest(prints), simhash.dense_forest(prints, key)):
+                part = {int(p): int(p) for p in prints}
+                for r, m in zip(np.concatenate(roots) if roots else [], np.concatenate(members) if members else [], strict=True):
+                    part[int(m)] = int(r)
+                groups = {}
+                for p in part:
+                    top = p
+                    while part[top] != top:
+                        top = part[top]
+                    groups.setdefault(top, set()).add(p)
+                found.append(sorted(map(sorted, groups.values())))
+            assert found[0] == found[1]
