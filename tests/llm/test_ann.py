@@ -42,6 +42,48 @@ def test_many_shards_and_blocks(spark, monkeypatch):
     assert len(set(got) & set(want)) >= 0.97 * len(want) and len(got) == len(want)
 
 
+def test_queries_go_to_cells_within_reach(spark, monkeypatch):
+    """Clustered rows: each row stands in one cell, and a query goes to few."""
+    monkeypatch.setattr(ann, "SHARD", 100)
+    rng = np.random.default_rng(14)
+    centres = rng.normal(size=(40, 16)) * 50
+    rows = [(i, (centres[i % 40] + rng.normal(size=16)).astype("float32").tolist()) for i in range(4000)]
+    data = frame(spark, rows)
+    met = []
+    near = ann._near
+    monkeypatch.setattr(ann, "_near", lambda placed, asked, *rest: met.append((placed.count(), asked.count())) or near(placed, asked, *rest))
+    got = {(r["query_id"], r["vec_id"]) for r in ann.search(data, data.where("vec_id % 100 = 0"), k=5).collect()}
+    want = exact(rows, [r for r in rows if r[0] % 100 == 0], 5)
+    assert sum((q, i) in got for q, _, i in want) >= 0.97 * len(want)
+    assert [x for x, _ in met] == [4000, 4000] and met[0][1] == 40 and met[1][1] <= 40 * 8
+
+
+def test_hot_cells_and_many_queries(spark, monkeypatch):
+    """A third of all rows are one vector: their cell is dealt over shards, and its queries over blocks."""
+    monkeypatch.setattr(ann, "SHARD", 60)
+    monkeypatch.setattr(ann, "BLOCK", 5)
+    rng = np.random.default_rng(15)
+    rows = [(i, [1.0, 2.0, 3.0, 4.0] if i % 3 == 0 else rng.normal(size=4).tolist()) for i in range(900)]
+    data = frame(spark, rows)
+    cells = ann._fit(data.selectExpr("vec_id as id", "cast(embedding as array<double>) as vec", "size(embedding) as dim"), {4: 900})[4]
+    assert max(cells.shards) > 1 and len(cells.shards) > 4
+    got = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in ann.search(data, data.where("vec_id % 30 = 0"), k=4, confidence=0.9999).collect())
+    assert got == exact([(i, np.array(v, "float32")) for i, v in rows], [(i, np.array(v, "float32")) for i, v in rows if i % 30 == 0], 4)
+
+
+def test_cells_hold_every_place_within_reach():
+    rng = np.random.default_rng(16)
+    points = rng.normal(size=(2000, ann.DIMS))
+    cells = ann.Cells(points, 2000, 100)
+    homes = cells.home(points)
+    assert np.bincount(homes).max() <= 100 and len(cells.shards) == len(set(homes.tolist()))
+    for q in rng.normal(size=(30, ann.DIMS)):
+        away = ((points - q) ** 2).sum(1)
+        for bound in (0.5, 3.0, 9.0):
+            assert set(homes[away <= bound].tolist()) <= set(cells.within(q, bound))
+        assert cells.within(q, math.inf) == list(range(len(cells.shards)))
+
+
 def test_ties_copies_and_bad_vectors(spark):
     same, nan, inf = [1.0, 2.0, 3.0], [math.nan, 1.0, 0.0], [math.inf, 0.0, 0.0]
     rows = [(i, same) for i in range(300)] + [(300, None), (301, [0.0, 0.0, 0.0]), (302, nan), (303, inf), (304, [1.0, None, 2.0]), (305, [1.0, 2.0]), (None, same), (306, []), (400, [9.0, 9.0, 9.0])]
