@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from linkloom.sources.storage import materialize
+
 EXAMPLES = 5
 ERROR, WARNING = "E", "W"
 
@@ -24,13 +26,23 @@ def good_rows(rows: DataFrame) -> DataFrame:
     return rows.where("has_tab")
 
 
-def _report(bad: DataFrame, item: Column, rule: str, severity: str) -> DataFrame:
-    """severity, rule, n, examples (the first five): no row if nothing is bad."""
-    listed = bad.select(item.cast("string").alias("item"))
-    few = listed.orderBy("item").limit(EXAMPLES).select(F.lit(None).cast("long").alias("n"), "item")
-    rows = listed.agg(F.count("*").alias("n")).select("n", F.lit(None).cast("string").alias("item")).unionByName(few)
-    counted = rows.agg(F.max("n").alias("n"), F.array_join(F.sort_array(F.collect_list("item")), ", ").alias("examples"))
-    return counted.where("n > 0").select(F.lit(severity).alias("severity"), F.lit(rule).alias("rule"), "n", "examples")
+def report(items: DataFrame, severity: str) -> DataFrame:
+    """severity, rule, n, examples (the first five) of (rule, item) rows: no row for a rule that nothing breaks.
+
+    Only five items of a task and rule are shuffled for the examples.
+    """
+    counts = items.groupBy("rule").agg(F.count("*").alias("n"))
+    first = items.withColumn("no", F.row_number().over(Window.partitionBy("rule").orderBy("item"))).where(F.col("no") <= EXAMPLES)
+    listed = first.groupBy("rule").agg(F.array_join(F.sort_array(F.collect_list("item")), ", ").alias("examples"))
+    return counts.join(listed, "rule").select(F.lit(severity).alias("severity"), "rule", "n", "examples")
+
+
+def _items(bad: DataFrame, item: Column, rule: str) -> DataFrame:
+    return bad.select(F.lit(rule).alias("rule"), item.cast("string").alias("item"))
+
+
+def _line(number: str) -> Column:
+    return F.concat(F.lit("line "), F.lpad(F.col(number).cast("string"), 12, " "))
 
 
 def malformed(rows: DataFrame) -> DataFrame:
@@ -44,8 +56,12 @@ def duplicate_rows(rows: DataFrame) -> DataFrame:
 
 
 def repeated_ids(rows: DataFrame) -> DataFrame:
-    """s1 whose list holds an id twice."""
-    return good_rows(rows).where(F.size("ids") != F.size(F.array_distinct("ids"))).select("s1")
+    """s1 with a list that holds an id twice."""
+    return good_rows(rows).where(_repeats()).select("s1").distinct()
+
+
+def _repeats() -> Column:
+    return F.size("ids") != F.size(F.array_distinct("ids"))
 
 
 def listed_ids(rows: DataFrame) -> DataFrame:
@@ -99,27 +115,32 @@ def header_problem(header: str | None, expected: tuple[str, str]) -> str | None:
     return None if tuple(x.strip().lower() for x in header.split("\t")) == expected else "header"
 
 
+def list_items(rows: DataFrame, required: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """rule and item of all that is wrong with one file, in three passes: by row, by id and by record. Ids are checked if ``known`` is given."""
+    fault = lambda rule, bad, item: F.when(bad, F.struct(F.lit(rule).alias("rule"), item.alias("item")))
+    faults = F.array(fault("row_without_tab", ~F.col("has_tab"), _line("line_no")), fault("repeated_id", F.col("has_tab") & _repeats(), F.col("s1")))
+    by_row = rows.select(F.inline(F.filter(faults, lambda x: x.isNotNull()))).distinct()
+    starts = lambda p: F.startswith("cand", F.lit(p))
+    ids = good_rows(rows).select(F.explode("ids").alias("cand")).distinct()
+    kind = F.when(starts("S1-"), "self_match").when(~(starts("S2-") | starts("S3-")), "bad_prefix").otherwise("unknown_id")
+    by_id = ids.select(kind.alias("rule"), F.col("cand").alias("item"))
+    by_id = by_id.where("rule <> 'unknown_id'") if known is None else by_id.join(known.select(F.lit("unknown_id").alias("rule"), F.col("entity_id").alias("item")), ["rule", "item"], "left_anti")
+    seen = good_rows(rows).groupBy("s1").agg(F.count("*").alias("n"))
+    wanted = required.select(F.trim("entity_id").alias("s1")).distinct().withColumn("wanted", F.lit(True))
+    faults = F.array(fault("duplicate_row", F.col("n") > 1, F.col("s1")), fault("missing_row", F.col("n").isNull(), F.col("s1")), fault("extra_row", F.col("wanted").isNull(), F.col("s1")))
+    by_record = seen.join(wanted, "s1", "full").select(F.inline(F.filter(faults, lambda x: x.isNotNull())))
+    return by_row.unionByName(by_id).unionByName(by_record)
+
+
 def list_report(rows: DataFrame, required: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """The rules for one file, as severity, rule, n, examples. Ids are checked if ``known`` is given."""
-    col = F.col
-    parts = [
-        _report(malformed(rows), F.concat(F.lit("line "), F.lpad(col("line_no").cast("string"), 12, " ")), "row_without_tab", ERROR),
-        _report(duplicate_rows(rows), col("s1"), "duplicate_row", ERROR),
-        _report(repeated_ids(rows), col("s1"), "repeated_id", ERROR),
-        _report(self_matches(rows), col("cand"), "self_match", ERROR),
-        _report(bad_prefixes(rows), col("cand"), "bad_prefix", ERROR),
-        _report(missing(rows, required), col("s1"), "missing_row", ERROR),
-        _report(extra(rows, required), col("s1"), "extra_row", ERROR),
-    ]
-    if known is not None:
-        parts.append(_report(unknown_ids(rows, known), col("cand"), "unknown_id", ERROR))
-    return reduce(DataFrame.unionByName, parts)
+    """The rules for one file, as severity, rule, n, examples."""
+    return report(materialize(list_items(rows, required, known), "faults"), ERROR)
 
 
 def encoding_report(lines: DataFrame) -> DataFrame:
     """Lines that aren't UTF-8."""
-    return _report(lines.where(~F.is_valid_utf8("value")), F.concat(F.lit("line "), F.lpad(F.col("line_no").cast("string"), 12, " ")), "not_utf8", ERROR)
+    return report(_items(lines.where(~F.is_valid_utf8("value")), _line("line_no"), "not_utf8"), ERROR)
 
 
 def subset_report(matches: DataFrame, candidates: DataFrame) -> DataFrame:
-    return _report(not_candidates(matches, candidates), F.col("s1"), "match_not_candidate", WARNING)
+    return report(_items(not_candidates(matches, candidates), F.col("s1"), "match_not_candidate"), WARNING)

@@ -116,7 +116,7 @@ PARTS = {
     "vids": "select s1, unnest(l) as cand from vgood",
     "v_malformed": "select n as line_no from vrows where not has_tab",
     "v_dup": "select s1, count(*) as n from vgood group by s1 having count(*) > 1",
-    "v_intra": "select s1 from vgood where len(l) <> len(list_distinct(l))",
+    "v_intra": "select distinct s1 from vgood where len(l) <> len(list_distinct(l))",
     "v_self": "select distinct cand from vids where cand like 'S1-%'",
     "v_prefix": "select distinct cand from vids where not (cand like 'S1-%' or cand like 'S2-%' or cand like 'S3-%')",
     "v_unknown": "select distinct cand from vids where (cand like 'S2-%' or cand like 'S3-%') and cand not in (select entity_id from rec where src > 1)",

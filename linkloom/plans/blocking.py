@@ -13,6 +13,7 @@ from linkloom import config
 from linkloom.config import BlockingConfig
 from linkloom.operators import candidates, index, metrics, validate
 from linkloom.sources import tsv
+from linkloom.sources.storage import materialize
 
 
 def blocking(records: DataFrame, settings: BlockingConfig = config.DEFAULT) -> candidates.Blocking:
@@ -59,14 +60,14 @@ def validation_report(spark: SparkSession, matching: str, required: str, candida
             optional = name == "candidate"
             parts.append(_note(spark, validate.WARNING if optional else validate.ERROR, f"{name}_file_{'absent' if optional else 'missing'}"))
             continue
-        lines = tsv.read_lines(spark, path)
+        lines = materialize(tsv.read_lines(spark, path), "lines")
         parts.append(validate.encoding_report(lines).withColumn("rule", F.concat(F.lit(f"{name}_"), "rule")))
         header = lines.where("line_no = 1").first()
         problem = validate.header_problem(header["value"] if header else None, ("source1_entity_id", column))
         if problem:
             parts.append(_note(spark, validate.ERROR, f"{name}_{problem}"))
             continue
-        tables[name] = validate.split_rows(lines.where("line_no > 1"))
+        tables[name] = materialize(validate.split_rows(lines.where("line_no > 1")), "rows")
         parts.append(validate.list_report(tables[name], wanted, ids).withColumn("rule", F.concat(F.lit(f"{name}_"), "rule")))
     if len(tables) == 2:
         parts.append(validate.subset_report(tables["matching"], tables["candidate"]))
