@@ -4,8 +4,10 @@ Each round deals the open pieces over groups of about ``GROUP`` rows and packs e
 best-fit decreasing. Dual feasible functions bound the group's bin count from below. A group
 whose count equals its bound is certified and keeps all its sequences. A group with a gap
 keeps the sequences that are nearly full and releases the documents of the others, with those
-of some sequences of many small documents; what the groups release is dealt anew over fewer groups and packed again. A round that needs no fewer
-sequences than were released changes nothing and ends the exchange.
+of some sequences of many small documents; what the groups release is dealt anew over fewer
+groups and packed again. A round that needs no fewer sequences than were released changes
+nothing and ends the exchange. Rows are dealt by their number in the written table, so equal
+rows are spread as well.
 """
 
 from __future__ import annotations
@@ -105,6 +107,8 @@ def _packer(round_no: int, last: bool, capacity: int, names: list[str]) -> Calla
         lengths = table.column("length").to_numpy()
         bins, offsets, rooms = best_fit_decreasing(lengths, capacity)
         group, bound = table.column("g")[0].as_py(), lower_bound(lengths, capacity)
+        if len(rooms) > 1 << 21:
+            raise ValueError("a group has more sequences than its numbers allow; deal smaller groups")
         loose = np.zeros(len(rooms), bool)
         if len(rooms) > bound and not last:
             loose = rooms > SLACK * capacity
@@ -138,7 +142,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> Dat
     pieces = pieces.select("length", *[c for c in pieces.columns if c not in ("length", *added)])
     names = [f.name for f in pieces.schema if f.name != "length" and isinstance(f.dataType, (T.IntegralType, T.StringType))]
     table = materialize(pieces, "pieces")
-    salt = F.xxhash64(*names) if names else F.monotonically_increasing_id()
+    salt = F.monotonically_increasing_id()
     schema = T.StructType([*pieces.schema.fields, *[T.StructField(n, T.BooleanType() if n == "open" else T.LongType()) for n in added]])
     done: list[DataFrame] = []
     whole = table.where(F.col("length") == capacity)

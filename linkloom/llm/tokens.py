@@ -8,6 +8,7 @@ plain punctuation behind it is cut between the two, where the pre-tokenizer cuts
 
 from __future__ import annotations
 
+import json
 import re
 
 import numpy as np
@@ -18,11 +19,27 @@ _TAIL = ".,!?*$%&#|;:"
 _LONG = 64
 
 
+# The normalizer and pre-tokenizer of the word BPE, by which texts may be cut as below.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": _WORDS}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
 class WordEncoder:
-    """``encode(text)``: the ids as little-endian unsigned 32-bit bytes."""
+    """``encode(text)``: the ids as little-endian unsigned 32-bit bytes. Vocabularies that cut texts otherwise are refused."""
 
     def __init__(self, path: str, cache_size: int = 300_000):
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        if spec["normalizer"] != _NORMALIZER or spec["pre_tokenizer"] != _PRE_TOKENIZER or spec["model"]["type"] != "BPE" or spec["model"]["end_of_word_suffix"] != "</w>" or spec["post_processor"]:
+            raise ValueError("only the lower-casing word BPE cuts texts as this encoder does")
         self.cache: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
         self.cache_size = cache_size

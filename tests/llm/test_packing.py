@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -56,6 +57,18 @@ def test_exchange_closes_gaps(spark):
     assert n < apart
 
 
+def test_equal_rows_are_dealt_over_groups(spark):
+    table = spark.createDataFrame([(1, 100)] * 4000 + [(2, 30)] * 500, "doc_id long, length long").repartition(3)
+    rows = packing.pack(table, group=400).collect()
+    assert sorted(r["doc_id"] for r in rows) == [1] * 4000 + [2] * 500
+    assert check_layout(rows) <= 4000 * 100 // 2000 + 15 and max(r["group_bins"] for r in rows) < 60
+
+
+def test_other_vocabularies_are_refused():
+    with pytest.raises(ValueError, match="word BPE"):
+        WordEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def test_ids_are_kept_on_request(frame):
     row = packing.pack_documents(frame, PATH, keep_ids=True).where("doc_id = 100003").first()
     assert np.frombuffer(row["ids"], "<u4").tolist() == [*Tokenizer.from_file(PATH).encode("one", add_special_tokens=False).ids, 0]
