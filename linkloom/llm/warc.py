@@ -27,6 +27,8 @@ from linkloom.llm.storage import local_path, materialize, new_path
 MAGIC = b"\x1f\x8b\x08"
 SPLIT = 8 << 20
 CHUNK = 1 << 20
+#: Copies of a payload that one task takes, and the most payloads that are treated as having more.
+COPIES, HOT = 1_000, 100_000
 DATE = "1970-01-01T00:00:00Z"
 _CONTROL = re.compile(r"[\x00-\x20\x7f]")
 
@@ -87,9 +89,18 @@ def write(pages: DataFrame, folder: str, min_bytes: int = 0, level: int = 6) ->
     """
     base = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string").cast("binary"), F.lit(b"")).alias("payload"))
     base = base.withColumn("digest", F.unhex(F.sha1("payload")))
-    last = base.select("page_id", "digest", F.length("payload").alias("n")).where(F.col("n") >= min_bytes).groupBy("digest").agg(F.max("page_id").alias("response_id"))
-    # the payload stays with its row: only 28 bytes a payload move to the other side of the join
-    joined = base.join(last, "digest", "left").select("page_id", "url", "payload", F.when(~F.col("page_id").eqNullSafe(F.col("response_id")), F.col("response_id")).alias("refers_to"), "digest")
+    last = base.select("page_id", "digest", F.length("payload").alias("n")).where(F.col("n") >= min_bytes).groupBy("digest").agg(F.max("page_id").alias("response_id"), F.count("*").alias("copies"))
+    last = materialize(last, "digests")
+    # payloads of very many copies don't meet in one task: their digests, HOT at most, go to all tasks
+    total = last.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
+    hot = last.where(F.col("copies") > max(COPIES, total // HOT)).select("digest", F.col("response_id").alias("hot_id"), F.lit(True).alias("hot"))
+    joined = base.join(F.broadcast(hot), "digest", "left")
+    # for the other join, such rows get a key each that meets nothing
+    apart = F.concat("digest", F.encode(F.concat(F.lit("#"), F.monotonically_increasing_id().cast("string")), "utf-8"))
+    joined = joined.withColumn("key", F.when(F.col("hot"), apart).otherwise(F.col("digest")))
+    joined = joined.join(last.select(F.col("digest").alias("key"), "response_id"), "key", "left")
+    response = F.when(F.col("hot"), F.col("hot_id")).otherwise(F.col("response_id"))
+    joined = joined.select("page_id", "url", "payload", F.when(~F.col("page_id").eqNullSafe(response), response).alias("refers_to"), "digest")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path, out, n = f"{folder}/part-{uuid.uuid4().hex}.warc.gz", None, 0

@@ -39,6 +39,15 @@ def test_round_trip(spark, least):
     assert got(warc.round_trip(spark, pages, least)) == expected(ROWS, least)
 
 
+def test_payloads_of_many_copies(spark, monkeypatch):
+    """A third of all pages are empty: their digest goes to all tasks, and no row of them through the join by digest."""
+    monkeypatch.setattr(warc, "COPIES", 3)
+    rows = ROWS + [(100 + i, f"http://x/{i}", None if i % 3 == 0 else f"page {i % 50}", "") for i in range(400)]
+    pages = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    assert got(warc.round_trip(spark, pages)) == expected(rows)
+    assert got(warc.round_trip(spark, pages, 5)) == expected(rows, 5)
+
+
 def test_payloads_and_splits(spark, tmp_path):
     rng = random.Random(1)
     rows = [(i, f"http://x/{i}", "".join(rng.choice("abc <>é\n") for _ in range(rng.choice([0, 10, 4000, 90_000]))), "") for i in range(120)]
