@@ -132,8 +132,8 @@ def _sampled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> LinearChainCRF:
     """The line CRF; without labelled documents of both kinds its weights are zero and all lines are content."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    texts = texts.where(F.length("text").between(1, SAMPLE_CHARS))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.char_length("text").between(1, SAMPLE_CHARS))
+    texts = texts.select("doc_id", F.col("text").cast("binary").alias("text"))
     known = labels.where("quality in (0, 1) and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     picked = [known.where(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * sample) for q in (0, 1)]
     few = picked[0].unionByName(picked[1])
