@@ -94,7 +94,7 @@ class WordEncoder:
         try:
             return b"".join([cache[x] for x in chunks])
         except KeyError:
-            missing = [x for x in dict.fromkeys(chunks) if not self._known(x)]
+            missing = [x for x in set(chunks).difference(cache) if not self._known(x)]
         self._learn(missing)
         ids = b"".join([cache[x] for x in chunks])
         for x in missing:
