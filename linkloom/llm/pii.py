@@ -30,6 +30,8 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _HINT = re.compile(r"[0-9@+]")
+_POINT = r"\s*(?:\.|\[\.\]|\(\.\)|[\[(]?dot[\])]?)\s*"
+_SPELLED_IP = re.compile(rf"[0-9]{{1,3}}(?:{_POINT}[0-9]{{1,3}}){{3}}", re.IGNORECASE)
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -101,6 +103,8 @@ def _class(x: str) -> str:
         out.append(kind)
         last = kind
     shape = "".join(out)
+    if "[.]" in shape or "(.)" in shape:
+        return re.sub("d+", "d", shape)
     if shape.strip("d") == "" and 14 <= len(shape) <= 19:
         return "luhn" if _luhn(core) else "long"
     return re.sub(r"d{2,}", lambda m: f"d{len(m[0])}" if len(m[0]) <= 4 else "d5+", shape)
@@ -208,12 +212,12 @@ def _hints(text: str) -> Iterator[int]:
 
 
 def plausible(span: str, kind: int) -> bool:
-    """What a span of the kind must hold: card numbers pass Luhn, addresses have four parts, and so on."""
+    """What a span of the kind must hold: card numbers pass Luhn, addresses have four parts, also with spelled or bracketed points, and so on."""
     digits = "".join(c for c in span if "0" <= c <= "9")
     if kind == 0:
         return "@" in span or "dot" in span.lower()
     if kind == 1:
-        return any(s == 0 and e == len(span) and k == 1 for s, e, k in base_spans(span))
+        return bool(_SPELLED_IP.fullmatch(span)) and all(int(p) <= 255 for p in re.findall("[0-9]+", span))
     return 14 <= len(digits) <= 19 and _luhn(digits) if kind == 2 else 10 <= len(digits) <= 15
 
 
@@ -235,7 +239,7 @@ def training_table() -> list[tuple[str, list[tuple[int, int, int]]]]:
     """Labelled lines: every filler in every frame, with the span's place and kind."""
     fillers = {
         0: ["ann at mail dot com", "j.roe (at) example (dot) org", "kim7@mail1.example.com", "lee [at] post [dot] net", "info@site.org", "bo@x.example.com"],
-        1: ["10.20.30.40", "192.168.7.21", "8.8.4.4", "203.0.113.9", "1.2.3.4", "172.16.254.1"],
+        1: ["10.20.30.40", "192.168.7.21", "8.8.4.4", "203.0.113.9", "1.2.3.4", "172.16.254.1", "10 dot 20 dot 30 dot 40", "192 dot 168 dot 7 dot 21", "8[.]8[.]4[.]4", "9[.]9[.]10[.]21", "8[.]18[.]114[.]4", "10[.]20[.]30[.]40", "1(.)1(.)1(.)12", "172(.)16(.)254(.)1"],
         2: ["4111 1111 1111 1111", "4111-1111-1111-1111", "4111111111111111", "5500000000000004", "4012888888881881"],
         3: ["+1 (325) 555-8094", "(325) 555-8094", "325-555-8094", "416-555-0192", "+49 30 1234 5678", "+13255558094", "+1 325 555 8094"],
     }

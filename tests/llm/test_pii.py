@@ -62,6 +62,9 @@ def test_crf_adds_what_patterns_miss():
         "room 17 4111 1111 1111 1111 was paid": None,
         "the 9913866557355101 is a number": 0,
         "version 2.0 of 12 items in 2024": 0,
+        "ping 10 dot 44 dot 3 dot 41 now": 1,
+        "the server 8[.]8[.]114[.]4 is up": 1,
+        "host 300 dot 1 dot 1 dot 1 is down": 0,
     }
     for line, n in lines.items():
         base, spans = pii.find([line])[0]
