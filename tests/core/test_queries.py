@@ -37,6 +37,17 @@ def test_oracle(spark, duck, name):
     assert plain(frame.select(*columns).collect()) == plain(want.project(", ".join(f'"{c}"' for c in columns)).fetchall())
 
 
+def test_truth_sample_has_all_ids(spark, tmp_path):
+    """More reference records with known pairs than a sample holds."""
+    path = f"{tmp_path}/documents.parquet"
+    connection = duckdb.connect()
+    connection.sql(f"copy (select i as doc_id, 'start ' || i // 2 || ' of a text' as text, 'en' as lang, 'src' || (i % 2) as source from range(40_400) r(i)) to '{path}'")
+    connection.sql(f"create view documents as select * from '{path}'")
+    want = connection.sql(ORACLES["truth_sample"])
+    assert len(want) > 20_000
+    assert plain(QUERIES["truth_sample"](spark, str(tmp_path)).collect()) == plain(want.fetchall())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
