@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linkloom.llm.storage import materialize
-from linkloom.llm.tokens import encoder
+from linkloom.llm.tokens import CACHE, encoder
 
 CAPACITY = 2048
 GROUP = 16_384
@@ -32,15 +32,15 @@ SLACK = 0.005
 MIXED = 1
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", cache: int = CACHE) -> DataFrame:
     """doc_id, piece, start, length, ids (little-endian uint32 bytes): each document's ids, then id 0, cut at ``capacity``.
 
     A null or empty text is the single id 0. Repeated rows are packed as often as they occur.
-    Other columns are ignored.
+    Other columns are ignored. ``cache`` words at most are held twice in each worker.
     """
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer, cache).encode
         step, schema = 4 * capacity, pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())])
         for batch in batches:
             for low in range(0, batch.num_rows, 1000):
@@ -176,12 +176,12 @@ def _order(dealt: DataFrame, schema: T.StructType) -> list[T.StructField]:
     return [*dealt.schema.fields, *[f for f in schema if f.name not in dealt.columns]]
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids: bool = False, cache: int = CACHE) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset, group_bins, group_bound; and ids with ``keep_ids``.
 
     Offsets in a sequence leave no gaps. See ``token_pieces`` for nulls, empty texts and
     repeated rows.
     """
-    pieces = token_pieces(docs, tokenizer, capacity).withColumn("ids_crc32", F.crc32("ids"))
+    pieces = token_pieces(docs, tokenizer, capacity, cache=cache).withColumn("ids_crc32", F.crc32("ids"))
     return pack(pieces if keep_ids else pieces.drop("ids"), capacity)
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterable
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -17,6 +18,8 @@ from tokenizers import Tokenizer
 _LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
 _TAIL = ".,!?*$%&#|;:"
 _LONG = 64
+#: Chunks in a generation of the cache; ids don't depend on it.
+CACHE = 300_000
 
 
 # The normalizer and pre-tokenizer of the word BPE, by which texts may be cut as below.
@@ -34,7 +37,7 @@ _PRE_TOKENIZER = {
 class WordEncoder:
     """``encode(text)``: the ids as little-endian unsigned 32-bit bytes. Vocabularies that cut texts otherwise are refused."""
 
-    def __init__(self, path: str, cache_size: int = 300_000):
+    def __init__(self, path: str, cache_size: int = CACHE):
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -50,13 +53,16 @@ class WordEncoder:
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
-    def _known(self, chunk: str) -> bool:
-        """Whether the cache has a chunk; one of the generation before moves over."""
-        if chunk not in self.cache:
-            if chunk not in self.older:
-                return False
-            self.cache[chunk] = self.older[chunk]
-        return True
+    def _unknown(self, chunks: Iterable[str]) -> list[str]:
+        """The chunks that the cache has not; those of the generation before move over."""
+        cache, older, out = self.cache, self.older.get, []
+        for chunk in chunks:
+            ids = older(chunk)
+            if ids is None:
+                out.append(chunk)
+            else:
+                cache[chunk] = ids
+        return out
 
     def _learn(self, chunks: list[str]) -> None:
         cache, split = self.cache, []
@@ -68,10 +74,9 @@ class WordEncoder:
                 split.append((chunk, core, tail))
             else:
                 cache[chunk] = self._ids(chunk).tobytes()
-        for tail in {tail for _, _, tail in split}:
-            if not self._known(tail):
-                cache[tail] = self._ids(tail).tobytes()
-        words = [core for core in dict.fromkeys(core for _, core, _ in split) if not self._known(core)]
+        for tail in self._unknown({tail for _, _, tail in split}.difference(cache)):
+            cache[tail] = self._ids(tail).tobytes()
+        words = self._unknown({core for _, core, _ in split}.difference(cache))
         for low in range(0, len(words), 256):
             part = words[low : low + 256]
             ids = self._ids(" ".join(part))
@@ -91,11 +96,9 @@ class WordEncoder:
             self.cache, self.older = {"": b""}, self.cache
         cache = self.cache
         chunks = text.replace("\n", " ").replace("\t", " ").split(" ")
-        try:
-            return b"".join([cache[x] for x in chunks])
-        except KeyError:
-            missing = [x for x in set(chunks).difference(cache) if not self._known(x)]
-        self._learn(missing)
+        missing = self._unknown(set(chunks).difference(cache))
+        if missing:
+            self._learn(missing)
         ids = b"".join([cache[x] for x in chunks])
         for x in missing:
             if len(x) > _LONG:
@@ -104,11 +107,11 @@ class WordEncoder:
         return ids
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[tuple[str, int], WordEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
-    """One encoder for each vocabulary file and worker process."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, cache_size: int = CACHE) -> WordEncoder:
+    """One encoder for each vocabulary file, size of cache and worker process."""
+    if (path, cache_size) not in _ENCODERS:
+        _ENCODERS[path, cache_size] = WordEncoder(path, cache_size)
+    return _ENCODERS[path, cache_size]

@@ -135,3 +135,11 @@ def test_token_counts_of_nothing(spark):
     empty = spark.createDataFrame([], "n_tokens long")
     assert token_counts.length_histogram(empty).collect() == []
     assert token_counts.truncated_total(token_counts.length_histogram(empty), 5).first()["tokens"] == 0
+
+
+def test_ids_do_not_depend_on_the_cache(spark):
+    rows = [(i, " ".join(f"word{chr(97 + (i * j) % 26)}{chr(97 + j % 26)}, W{'x' * (j % 7)}." for j in range(60))) for i in range(40)] * 2
+    table = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    seen = [sorted(map(tuple, packing.token_pieces(table, PATH, cache=size).select("doc_id", "piece", "ids").collect())) for size in (5, 600_000)]
+    want = sorted((i, 0, bytearray(np.array([*PLAIN.encode(text, add_special_tokens=False).ids, 0], "<u4").tobytes())) for i, text in rows)
+    assert [[(d, p, bytearray(x)) for d, p, x in own] for own in seen] == [want, want]
