@@ -40,7 +40,7 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
-    docs = sentencepiece.decode(sentencepiece.encode(_table(spark, sf_dir, "documents"), path), path)
+    docs = sentencepiece.round_trip(_table(spark, sf_dir, "documents"), path)
     return docs.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_ids"), F.crc32("ids").alias("ids_crc32"), F.sha2("text", 256).alias("text_sha256"))
 
 

@@ -302,30 +302,42 @@ def model(path: str) -> Model:
     return _MODELS[path]
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, ids (little-endian uint32 bytes): one row per input row; null texts have null ids, empty ones none."""
+def _picked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = model(path)
-        for batch in batches:
-            at = 0
-            for texts in _batches(batch.column(1)):
-                found = own.encode_all([x or "" for x in texts])
-                ids = pa.array([None if x is None else y for x, y in zip(texts, found, strict=True)], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), ids], ["doc_id", "ids"])
-                at += len(texts)
 
-    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return picked.mapInArrow(run, "doc_id long, ids binary")
+def _encoded(batches: Iterable[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    own = model(path)
+    for batch in batches:
+        at = 0
+        for texts in _batches(batch.column(1)):
+            found = own.encode_all([x or "" for x in texts])
+            ids = pa.array([None if x is None else y for x, y in zip(texts, found, strict=True)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), ids], ["doc_id", "ids"])
+            at += len(texts)
+
+
+def _decoded(batches: Iterable[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    own = model(path)
+    for batch in batches:
+        texts = [None if x is None else own.decode(x) for x in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
+
+
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, ids (little-endian uint32 bytes): one row per input row; null texts have null ids, empty ones none."""
+    return _picked(docs, id_col, text_col).mapInArrow(lambda batches: _encoded(batches, path), "doc_id long, ids binary")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """doc_id, ids, text from doc_id and ids; null ids give a null text."""
+    return encoded.select("doc_id", "ids").mapInArrow(lambda batches: _decoded(batches, path), "doc_id long, ids binary, text string")
+
+
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, ids, text: what ``decode`` makes of ``encode``. Both run in one worker process a task, so a task holds one model and its caches."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = model(path)
-        for batch in batches:
-            texts = [None if x is None else own.decode(x) for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
+        return _decoded(_encoded(batches, path), path)
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, text string")
+    return _picked(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids binary, text string")

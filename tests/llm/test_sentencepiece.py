@@ -6,7 +6,7 @@ import pytest
 import sentencepiece as library
 from sentencepiece import sentencepiece_model_pb2 as proto
 
-from linkloom.llm import sentencepiece
+from linkloom.llm import queries, sentencepiece
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -104,3 +104,16 @@ def test_models_with_other_rules_are_refused(tmp_path):
 
     with pytest.raises(ValueError):
         sentencepiece.Model(changed(tmp_path, user))
+
+
+def test_round_trip_in_one_worker(spark, frame):
+    def rows(df):
+        return sorted(((r["doc_id"], r["ids"], r["text"]) for r in df.collect()), key=str)
+
+    def workers(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow")
+
+    got = sentencepiece.round_trip(frame, PATH)
+    assert workers(got) == 1
+    assert rows(got) == rows(sentencepiece.decode(sentencepiece.encode(frame, PATH), PATH))
+    assert workers(queries.op5_sentencepiece(spark, "/root/testdata/sf0.001")) == 1
